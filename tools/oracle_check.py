@@ -29,6 +29,8 @@ def norm(v):
         if math.isnan(v):
             return None
         return round(v, 4)
+    if hasattr(v, "tolist"):
+        return norm(v.tolist())
     if hasattr(v, "item"):
         return norm(v.item())
     if isinstance(v, (list, tuple)):
