@@ -82,6 +82,9 @@ def column_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def fit_minmax(df: DataFrame, cols: list[str], fill=None) -> dict[str, tuple[float, float]]:
     """Small fitted state: (min, max) per column, one aggregate row brought to the driver."""
+    if not cols:
+        return {}
+
     def v(c):
         x = F.col(c).cast("double")
         return F.coalesce(x, F.lit(float(fill))) if fill is not None else x
