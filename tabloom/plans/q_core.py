@@ -15,7 +15,7 @@ H = core.hash_uniform_sql
 
 
 # ------------------------------------------------------------------ P1-P15 --------
-@register("column_ops_orders", ["P1", "P4", "P5", "P6", "P7", "P8", "P9", "P10", "P11", "P12", "P13", "P14", "P15"],
+@register("column_ops_orders", ["P1", "P4", "P5", "P6", "P7", "P8", "P9", "P10", "P11", "P12", "P13", "P14", "P15", "F22"],
           sql="""
 SELECT o_orderkey AS key,
        CAST(o_totalprice BETWEEN 100000 AND 200000 AS INTEGER) AS mid_price,

@@ -172,3 +172,21 @@ def label_smoothing(spark, sf):
 
 
 
+
+
+@register("mixed_processor_orders", ["N16", "N17", "N18", "N19", "N20", "N21", "B3"], sql=with_sql(LABELLED_SQL, """
+f AS (SELECT id, priority, CASE WHEN price > 4 THEN log2(price * price) WHEN price < -4 THEN -log2(price * price)
+                                ELSE price END AS lp FROM labelled),
+s AS (SELECT avg(lp) AS m, stddev_samp(lp) AS sd FROM f),
+v AS (SELECT value, row_number() OVER (ORDER BY value) - 1 AS code
+      FROM (SELECT DISTINCT coalesce(priority, '-999') AS value FROM f))""") + """
+SELECT v.code AS priority_idx, round(avg((coalesce(lp, m) - m) / (sd + 1e-8)), 6) AS mean_price, count(*) AS n
+FROM f JOIN v ON coalesce(f.priority, '-999') = v.value, s GROUP BY 1""")
+def mixed_processor_orders(spark, sf):
+    from ..operators import spec as fs
+    df = labelled(spark, sf).select("id", "priority", "price", "y")
+    sp = fs.fit(df, exclude=["id", "y"])
+    tr = fs.transform(df, sp)
+    _ = fs.model_input(tr, sp, "id")
+    return round_doubles(tr.groupBy(F.col("priority").cast("long").alias("priority_idx"))
+                         .agg(F.avg("price").alias("mean_price"), F.count(F.lit(1)).alias("n")))

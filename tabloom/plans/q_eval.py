@@ -115,7 +115,7 @@ SELECT 'Total', 1.0, CAST(sum(Total) AS BIGINT), NULL, round(min(MinScore), 6),
        round(sum(GoodCnt) / sum(Total), 6), NULL, round(max(CumTotalBadRate - CumTotalGoodRate), 6), NULL FROM m"""
 
 
-@register("ks_table_scored", ["E2", "W2", "W3", "W4", "W5", "B5"], sql=KS_SQL)
+@register("ks_table_scored", ["E2", "W2", "W3", "W4", "W5", "B5", "IO13"], sql=KS_SQL)
 def ks_table_scored(spark, sf):
     return round_doubles(ev.ks_table(scored(spark, sf), "p", "y", "id"))
 

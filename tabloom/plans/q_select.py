@@ -198,3 +198,12 @@ def dfs_order_features(spark, sf):
     for v in top:
         feats = feats.withColumn(f"o_orderpriority_{v}", (F.col("o_orderpriority") == v).cast("int"))
     return round_doubles(feats.drop("o_orderdate", "o_orderpriority", "o_custkey"))
+
+
+@register("drop_sparse_columns", ["P20", "X1"], sql="""
+SELECT * FROM (VALUES ('id'), ('y'), ('o_totalprice'), ('o_orderpriority'), ('c_acctbal'), ('c_nationkey'),
+                      ('c_mktsegment'), ('const_col')) t(kept)""")
+def drop_sparse_columns(spark, sf):
+    from ..operators.core import drop_sparse_columns as dsc
+    kept = dsc(wide(spark, sf), 0.005, also=["c_name"]).columns
+    return spark.createDataFrame([(c,) for c in kept], "kept string")
