@@ -6,6 +6,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,7 +58,7 @@ def text_chunks(batches, column: str = "text", limit: int = CHUNK_BYTES):
         if n == 0:
             continue
         col = batch.column(batch.schema.get_field_index(column))
-        sizes = np.nan_to_num(np.asarray(pa.compute.binary_length(col).to_numpy(zero_copy_only=False), dtype="float64"))
+        sizes = np.nan_to_num(np.asarray(pc.binary_length(col).to_numpy(zero_copy_only=False), dtype="float64"))
         ends = np.cumsum(sizes)
         at = 0
         while at < n:
