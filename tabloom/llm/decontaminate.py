@@ -17,6 +17,7 @@ ids are ignored; extra columns are ignored; an empty table gives an empty result
 from __future__ import annotations
 
 import hashlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -130,10 +131,11 @@ def _pass(block: Block, batches):
     number = block.vocabulary.get
     gap = np.full(max(longest, NEAR) + 1, -1, dtype=np.int64)
     for part in text_chunks(batches):
-        ids, first, total = [], [], 0
+        ids, first, n_words, total = [], [], [], 0
         for raw in text_bytes(part):
             words = words_of(raw)
-            ids += [np.fromiter((number(w, -1) for w in words), dtype=np.int64, count=len(words)), gap]
+            ids += [np.array(list(map(number, words, repeat(-1, len(words)))), dtype=np.int64), gap]
+            n_words.append(len(words))
             first.append(total)
             total += len(words) + gap.size
         first = np.array(first)
@@ -159,12 +161,12 @@ def _pass(block: Block, batches):
             d = int(np.searchsorted(first, a, side="right") - 1)
             ranges[d] += [int(a - first[d]), int(b - first[d])]
         yield pa.record_batch([part.column(0), part.column(1), pa.array(ranges, pa.list_(pa.int64())), pa.array([sorted(x) for x in items], pa.list_(pa.int64())),
-                               pa.array([sorted(x) for x in nearby], pa.list_(pa.int64())), *part.columns[5:]], names=part.schema.names)
+                               pa.array([sorted(x) for x in nearby], pa.list_(pa.int64())), pa.array(n_words, pa.int64()), *part.columns[6:]], names=part.schema.names)
 
 
 def _judge(share: int, batches):
     for batch in batches:
-        n_words = [len(words_of(raw)) for raw in text_bytes(batch)]
+        n_words = [len(words_of(raw)) if n is None else n for n, raw in zip(batch.column(5).to_pylist(), text_bytes(batch))]
         n_hit = []
         for flat in batch.column(2).to_pylist():
             hit, reach = 0, 0
@@ -177,8 +179,8 @@ def _judge(share: int, batches):
             batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()),
             pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
             pa.array([h > 0 and share * h >= n for h, n in zip(n_hit, n_words)], pa.bool_()),
-            pa.array([len(set(near) - set(exact)) for near, exact in zip(batch.column(4).to_pylist(), batch.column(3).to_pylist())], pa.int64()), *batch.columns[5:], batch.column(1)],
-            names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near", *batch.schema.names[5:], "text"])
+            pa.array([len(set(near) - set(exact)) for near, exact in zip(batch.column(4).to_pylist(), batch.column(3).to_pylist())], pa.int64()), *batch.columns[6:], batch.column(1)],
+            names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near", *batch.schema.names[6:], "text"])
 
 
 _JUDGED = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, n_near long"
@@ -187,11 +189,11 @@ _JUDGED = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 str
 def _judged(docs: DataFrame, benchmark: DataFrame, window: int, share: int, block_words: int, carry: bool) -> DataFrame:
     none = F.array().cast("array<bigint>")
     df = doc_columns(docs, carry)
-    df = df.select("doc_id", "text", none.alias("hits"), none.alias("items"), none.alias("near"), *df.columns[2:])
+    df = df.select("doc_id", "text", none.alias("hits"), none.alias("items"), none.alias("near"), F.lit(None).cast("long").alias("words"), *df.columns[2:])
     schema = df.schema
     for block in benchmark_blocks(benchmark, window, block_words):
         df = df.mapInArrow(lambda batches, block=block: _pass(block, batches), schema)
-    out = T.StructType([*T.StructType.fromDDL(_JUDGED).fields, *schema.fields[5:], T.StructField("text", T.StringType())])
+    out = T.StructType([*T.StructType.fromDDL(_JUDGED).fields, *schema.fields[6:], T.StructField("text", T.StringType())])
     return df.mapInArrow(lambda batches: _judge(share, batches), out)
 
 
