@@ -45,7 +45,7 @@ _SHIFTS = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)
 class Shingler:
     """Distinct shingle hashes of a text; remembers the hashes of words it has met (up to a bound)."""
 
-    def __init__(self, size: int, remember: int = 500_000):
+    def __init__(self, size: int, remember: int = 200_000):
         self.size, self.remember, self.known = size, remember, {}
 
     def __call__(self, raw: bytes) -> np.ndarray:
