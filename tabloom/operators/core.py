@@ -225,7 +225,7 @@ def holdout(df: DataFrame, key: str, ratio: float, seed: int = 0, stratify: str
     ranked = ordered_scan(h, [("_h", True), (key, True)], by=by, rank_col="_r")
     counts = h.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")) if by else None
     if by:
-        ranked = ranked.join(F.broadcast(counts), by)  # one row per stratum
+        ranked = ranked.join(counts, by)
         n = F.col("_n")
     else:
         n = F.lit(h.count())

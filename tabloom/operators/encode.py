@@ -1,51 +1,33 @@
 """Encoders as fit -> transform.
 
-Fitted state is a small DataFrame (or, for a few scalars, a dict brought back from
-one aggregate row). Transforms are native column expressions: a dictionary that
-is provably small becomes a literal map (``element_at``), a large one becomes a
-join. No Python runs per row.
+Fitted state is a DataFrame written once to the shared folder (or, for a few scalars,
+a dict brought back from one aggregate row). Transforms are native column expressions
+and left joins on the fitted table; they start no jobs of their own. No Python runs
+per row.
 """
 
 from __future__ import annotations
 
 import math
-from itertools import chain
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checked_broadcast
+from ..session import cut_lineage
 from .rank import ordered_scan
 from .stats import equal_width_bucket, fit_minmax, label_totals
 
-MAP_LITERAL_MAX = 50_000  # dictionary entries inlined as a map literal
-
-
 def _str(c) -> Column:
     return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
 
 
 def lookup(df: DataFrame, col: str, table: DataFrame, key: str, value: str, out: str,
            default=None, key_expr: Column | None = None) -> DataFrame:
-    """Add ``out`` = table[value] looked up by ``key_expr`` (default: the column).
-
-    Small dictionaries (checked count) become a map literal; larger ones a left join.
-    """
+    """Add ``out`` = table[value] looked up by ``key_expr`` (default: the column): one left join on a
+    fitted table of unique keys, for which Spark picks the strategy from its runtime size."""
     k = key_expr if key_expr is not None else F.col(col)
-    n = table.count()
-    if n <= MAP_LITERAL_MAX:
-        pairs = [(r[0], r[1]) for r in table.select(key, value).collect()]
-        pairs = [(a, b) for a, b in pairs if a is not None]
-        if pairs:
-            m = F.create_map(*chain.from_iterable((F.lit(a), F.lit(b)) for a, b in pairs))
-            v = F.when(k.isNotNull(), F.try_element_at(m, k))
-        else:
-            v = F.lit(None)
-        if default is not None:
-            v = F.coalesce(v, default if isinstance(default, Column) else F.lit(default))
-        return df.withColumn(out, v)
     t = table.select(F.col(key).alias("_lk"), F.col(value).alias(out))
-    res = df.withColumn("_lk", k).join(checked_broadcast(t), "_lk", "left").drop("_lk")
+    res = df.withColumn("_lk", k).join(t, "_lk", "left").drop("_lk")
     if default is not None:
         res = res.withColumn(out, F.coalesce(F.col(out), default if isinstance(default, Column) else F.lit(default)))
     return res
@@ -72,7 +54,7 @@ def normalize_transform(df: DataFrame, scaler: dict, kind: str = "z-score", epsi
         if kind == "z-score":
             cols[c] = (x - F.lit(s["mean"])) / (F.lit(s["std"]) + F.lit(epsilon))
         else:
-            v = F.lit(lbound) + (x - F.lit(s["min"])) / (F.lit(s["max"]) - F.lit(s["min"])) * F.lit(hbound - lbound)
+            v = F.lit(lbound) + F.coalesce(F.try_divide(x - F.lit(s["min"]), F.lit(s["max"]) - F.lit(s["min"])), F.lit(0.0)) * F.lit(hbound - lbound)
             cols[c] = F.least(F.greatest(v, F.lit(lbound)), F.lit(hbound))
     return df.withColumns(cols)
 
@@ -91,21 +73,22 @@ def target_fit(df: DataFrame, label: str, cols: list[str], min_samples_leaf: int
         code = F.when(F.col("value").isNull(), F.lit(prior)).otherwise(code)
     elif handle_missing == "coerce":
         code = F.when(F.col("value").isNull(), F.lit(None)).otherwise(code)
-    return g.withColumn("code", code).withColumn("prior", F.lit(prior))
+    return cut_lineage(g.withColumn("code", code).withColumn("prior", F.lit(prior)))
 
 
 def target_transform(df: DataFrame, fitted: DataFrame, cols: list[str], handle_unknown: str = "mean") -> DataFrame:
-    prior = fitted.select("prior").first()[0]
+    prior = fitted.agg(F.max("prior")).scalar()
     out = df
     for c in cols:
         t = fitted.filter(F.col("feature") == c)
-        null_code = t.filter(F.col("value").isNull()).select("code").first()
+        nulls = t.filter(F.col("value").isNull())
+        # A fitted null category counts even if its code is null; without one the prior stands in.
+        null_code = F.when(nulls.agg(F.count(F.lit(1))).scalar() > 0, nulls.agg(F.max("code")).scalar()).otherwise(prior)
         known = t.filter(F.col("value").isNotNull())
         out = lookup(out, c, known, "value", "code", f"_{c}_code", key_expr=_str(c))
-        unknown = {"mean": F.lit(prior), "coerce": F.lit(None).cast("double"),
+        unknown = {"mean": prior, "coerce": F.lit(None).cast("double"),
                    "error": F.raise_error(F.lit(f"unknown category in {c}")).cast("double")}[handle_unknown]
-        miss = F.lit(null_code[0] if null_code else prior).cast("double")
-        out = out.withColumn(c, F.when(F.col(c).isNull(), miss)
+        out = out.withColumn(c, F.when(F.col(c).isNull(), null_code.cast("double"))
                              .otherwise(F.coalesce(F.col(f"_{c}_code"), unknown))).drop(f"_{c}_code")
     return out
 
@@ -124,7 +107,7 @@ def woe_fit(df: DataFrame, label: str, cols: list[str], reg: float = 1.0, dummy_
            - F.lit(math.log((P + 2 * reg) / (N + 2 * reg))))
     if not dummy_na:
         woe = F.when(F.col("value") == replace_na, F.lit(0.0)).otherwise(woe)
-    return g.withColumn("woe", woe)
+    return cut_lineage(g.withColumn("woe", woe))
 
 
 def woe_transform(df: DataFrame, fitted: DataFrame, cols: list[str], handle_unknown: str = "coerce",
@@ -147,7 +130,7 @@ def label_fit(df: DataFrame, cols: list[str], na_value: str = "-99") -> DataFram
                                       F.coalesce(_str(c), F.lit(na_value)).alias("value")) for c in cols]))
     vals = df.select(kv.alias("kv")).select("kv.*").distinct()
     ranked = ordered_scan(vals, [("value", True)], by=["feature"], rank_col="_r")
-    return ranked.select("feature", "value", (F.col("_r") - 1).alias("code"))
+    return cut_lineage(ranked.select("feature", "value", (F.col("_r") - 1).alias("code")))
 
 
 def label_transform(df: DataFrame, fitted: DataFrame, cols: list[str], handle_unknown: str = "uk",
@@ -155,9 +138,9 @@ def label_transform(df: DataFrame, fitted: DataFrame, cols: list[str], handle_un
     out = df
     for c in cols:
         t = fitted.filter(F.col("feature") == c)
-        top = t.agg(F.max("code")).first()[0]
+        top = t.agg(F.max("code")).scalar()
         out = lookup(out, c, t, "value", "code", f"_{c}_c", key_expr=F.coalesce(_str(c), F.lit(na_value)))
-        unk = (F.lit(top + 1) if handle_unknown == "uk"
+        unk = (top + 1 if handle_unknown == "uk"
                else F.raise_error(F.lit(f"unknown category in {c}")).cast("long"))
         out = out.withColumn(c, F.coalesce(F.col(f"_{c}_c"), unk).cast("long")).drop(f"_{c}_c")
     return out
@@ -208,7 +191,7 @@ def mean_fit(df: DataFrame, label: str, cols: list[str], n_critical: float = 1,
     # complete the (value, class) grid by exploding the (bounded) class list
     full = (values.withColumn("cls", F.explode(F.array(*[F.lit(c) for c in classes])))
             .join(cell, ["feature", "value", "cls"], "left").fillna(0, ["cnt"])
-            .join(F.broadcast(prior), "cls"))
+            .join(prior, "cls"))
     w = Window.partitionBy("feature", "value")
     post = F.col("cnt") / F.sum("cnt").over(w)
     smooth = 1.0 / (1.0 + F.exp(-(F.col("cnt") - F.lit(n_critical)) / F.lit(float(scale_factor))))

@@ -93,18 +93,18 @@ def ks_table(df: DataFrame, score: str, label: str, tiebreak: str, nbins: int =
             .fillna(0, ["Total", "BadCnt"]))
     w = Window.orderBy("_g")  # nbins rows
     wall = Window.partitionBy()
-    rate = F.col("BadCnt") / F.col("Total")
+    rate = F.try_divide("BadCnt", "Total")
     t = (full.withColumn("GoodCnt", F.col("Total") - F.col("BadCnt"))
          .withColumn("InnerBadRate", rate)
          .withColumn("_up", F.when(F.col("InnerBadRate") > F.lag("InnerBadRate").over(w), 1).otherwise(0))
          .withColumn("bumps", F.sum("_up").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-         .withColumn("BadRate", F.col("BadCnt") / F.sum("BadCnt").over(wall))
-         .withColumn("GoodRate", F.col("GoodCnt") / F.sum("GoodCnt").over(wall))
+         .withColumn("BadRate", F.try_divide(F.col("BadCnt"), F.sum("BadCnt").over(wall)))
+         .withColumn("GoodRate", F.try_divide(F.col("GoodCnt"), F.sum("GoodCnt").over(wall)))
          .withColumn("CumTotalBadRate", F.sum("BadRate").over(w.rowsBetween(Window.unboundedPreceding, 0)))
          .withColumn("CumTotalGoodRate", F.sum("GoodRate").over(w.rowsBetween(Window.unboundedPreceding, 0)))
          .withColumn("KS", F.col("CumTotalBadRate") - F.col("CumTotalGoodRate"))
-         .withColumn("Lift", F.col("InnerBadRate") * (F.sum("BadCnt").over(wall) + F.sum("GoodCnt").over(wall))
-                     / F.sum("BadCnt").over(wall))
+         .withColumn("Lift", F.try_divide(F.col("InnerBadRate") * (F.sum("BadCnt").over(wall) + F.sum("GoodCnt").over(wall)),
+                                            F.sum("BadCnt").over(wall)))
          .withColumn("Population", F.col("Total") / F.lit(float(n)))
          .withColumn("Rank", (F.col("_g") + 1).cast("string")))
     cols = ["Rank", "Population", "Total", "bumps", "MinScore", "MeanScore", "MaxScore", "BadCnt", "GoodCnt",
@@ -130,8 +130,9 @@ def auc(df: DataFrame, score: str, label: str, dropna: bool = True, nan: float =
     data = data.dropna()
     per = data.groupBy("s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
     sc = ordered_scan(per, [("s", True)], sums=["neg"], rank_col="_r")
-    return sc.agg((F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + 0.5 * F.col("neg")))
-                   / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+    # One class only: no pair to order, the area is null.
+    return sc.agg(F.try_divide(F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + 0.5 * F.col("neg"))),
+                               F.sum("pos") * F.sum("neg")).alias("auc"))
 
 
 # ------------------------------------------------------------------ E9 ------------
@@ -169,13 +170,10 @@ def _ranked_desc(df, score, label, tiebreak):
     return ordered_scan(data, [(score, False), (tiebreak, True)], rank_col="_r")
 
 
-def top_ratio_hit_rate(df: DataFrame, score: str, label: str, tiebreak: str, top_ratio: float = 0.001,
-                       sample_threshold: int = 10) -> DataFrame:
-    """Hit rate in the top share (all rows when k <= threshold) and cover of the top 30 %."""
+def top_ratio_hit_rate(df: DataFrame, score: str, label: str, tiebreak: str, top_ratio: float = 0.001) -> DataFrame:
+    """Hit rate in the top share (one row at least) and cover of the top 30 %."""
     n = df.count()
-    k = int(n * top_ratio)
-    if k <= sample_threshold:
-        k = n
+    k = max(1, int(n * top_ratio))
     k30 = int(0.3 * n)
     rk = _ranked_desc(df, score, label, tiebreak)
     y = F.col(label).cast("double")

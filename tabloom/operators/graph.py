@@ -16,7 +16,8 @@ from ..operators.rank import ordered_scan, top_k_per_group, with_next
 def neighbour_pool(edges: DataFrame, nodes: DataFrame, feat: str) -> DataFrame:
     """Per src the mean, max and sum of neighbour features."""
     j = edges.join(nodes.select(F.col("id").alias("dst"), F.col(feat).alias("x")), "dst")
-    return j.groupBy("src").agg(F.avg("x").alias("mean_pool"), F.max("x").alias("max_pool"), F.sum("x").alias("sum_pool"))
+    return j.groupBy("src").agg(F.avg("x").alias("mean_pool"), F.max("x").alias("max_pool"), F.sum("x").alias("sum_pool"),
+                                 F.count("x").alias("n"))
 
 
 def gin_sum(edges: DataFrame, nodes: DataFrame, feat: str, eps: float = 0.1) -> DataFrame:

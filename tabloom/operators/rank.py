@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
+_RANGE = "__range"
 OrderSpec = list  # list of (column name, ascending: bool)
 
 
@@ -40,6 +41,16 @@ def _key_series(pdf: pd.DataFrame, by: list[str]) -> pd.Series:
     return k
 
 
+def _one_range_each(it):
+    """Batches cut where the range of the rows changes."""
+    for pdf in it:
+        if pdf.empty:
+            continue
+        edges = np.flatnonzero(np.diff(pdf[_RANGE].to_numpy())) + 1
+        for lo, hi in zip([0, *edges], [*edges, len(pdf)]):
+            yield pdf.iloc[lo:hi]
+
+
 def ordered_scan(df: DataFrame, order: OrderSpec, by: list[str] | None = None,
                  sums: list[str] = (), maxes: list[str] = (), rank_col: str = "rank",
                  num_partitions: int | None = None) -> DataFrame:
@@ -50,10 +61,11 @@ def ordered_scan(df: DataFrame, order: OrderSpec, by: list[str] | None = None,
     """
     by = list(by or [])
     sums, maxes = list(sums), list(maxes)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     exprs = _sort_exprs(by, order)
-    laid = cut_lineage(df.repartitionByRange(n, *exprs).sortWithinPartitions(*exprs))
+    # Without a given number Spark joins small neighbouring ranges at run time.
+    ranged = df.repartitionByRange(num_partitions, *exprs) if num_partitions else df.repartitionByRange(*exprs)
+    # The range a row is in stays with the row: later unions or coalesces cannot mix up the carries.
+    laid = cut_lineage(ranged.sortWithinPartitions(*exprs).withColumn(_RANGE, F.spark_partition_id()))
 
     # ---- pass 1: one summary row per partition -------------------------------------
     sum_fields = [T.StructField(f"s_{i}", T.DoubleType()) for i in range(len(sums))]
@@ -64,16 +76,14 @@ def ordered_scan(df: DataFrame, order: OrderSpec, by: list[str] | None = None,
     ] + sum_fields + max_fields)
 
     def summarize(it):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        first_key = last_key = None
+        pid, first_key, last_key = None, None, None
         last_n, last_s, last_m = 0, [0.0] * len(sums), [np.nan] * len(maxes)
         for pdf in it:
             if pdf.empty:
                 continue
             keys = _key_series(pdf, by)
             if first_key is None:
-                first_key = keys.iloc[0]
+                pid, first_key = int(pdf[_RANGE].iloc[0]), keys.iloc[0]
             tail_key = keys.iloc[-1]
             tail = pdf[keys.values == tail_key]
             if tail_key != last_key:
@@ -109,24 +119,22 @@ def ordered_scan(df: DataFrame, order: OrderSpec, by: list[str] | None = None,
     carries_json = json.dumps({str(k): v for k, v in carries.items()})
 
     # ---- pass 2: local running aggregates plus carries -----------------------------
-    out_fields = list(laid.schema.fields) + [T.StructField(rank_col, T.LongType())]
+    out_fields = [f for f in laid.schema.fields if f.name != _RANGE] + [T.StructField(rank_col, T.LongType())]
     out_fields += [T.StructField(f"cum_{c}", T.DoubleType()) for c in sums]
     out_fields += [T.StructField(f"cmax_{c}", T.DoubleType()) for c in maxes]
     out_schema = T.StructType(out_fields)
 
     def scan(it):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        carry = json.loads(carries_json).get(str(pid))
-        if carry is not None:
-            cur_key, (cur_n, cur_s, cur_m) = carry[0], carry[1]
-        else:
-            cur_key, cur_n, cur_s, cur_m = None, 0, [0.0] * len(sums), [np.nan] * len(maxes)
-        for pdf in it:
-            if pdf.empty:
-                continue
+        carries = json.loads(carries_json)
+        cur_pid = cur_key = None
+        cur_n, cur_s, cur_m = 0, [0.0] * len(sums), [np.nan] * len(maxes)
+        for pdf in _one_range_each(it):
+            pid = int(pdf[_RANGE].iloc[0])
+            pdf = pdf.drop(columns=_RANGE).reset_index(drop=True)
+            if pid != cur_pid:
+                cur_pid = pid
+                cur_key, (cur_n, cur_s, cur_m) = carries.get(str(pid), (None, (0, [0.0] * len(sums), [np.nan] * len(maxes))))
             keys = _key_series(pdf, by).reset_index(drop=True)
-            pdf = pdf.reset_index(drop=True)
             new = keys.ne(keys.shift())
             new.iloc[0] = keys.iloc[0] != cur_key
             gid = new.cumsum()

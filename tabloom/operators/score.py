@@ -1,7 +1,7 @@
 """Batch scoring with given weights (M6-M8, M12-M14, D5, D6) and input arrays.
 
 The FM score (M6) is pure SQL: explode (field, index) pairs, join the weight table
-(size-checked broadcast) and aggregate per row. Heads that need dense maths (M7
+and aggregate per row. Heads that need dense maths (M7
 FM + MLP with batch-norm) run in one ``mapInPandas`` per partition with weights
 shipped once per task; rows never pass through the driver.
 """
@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import sparse_overlay
-from ..session import checked_broadcast
 
 # Fixed model shape of the demo scorer (our own choice, not a reference value).
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -49,7 +48,7 @@ def fm_score(feats: DataFrame, weights: DataFrame, key: str = "user_id", k: int
     """M6: sigmoid(sum w_i x_i + 1/2 sum_f ((sum v_if x_i)^2 - sum v_if^2 x_i^2))."""
     z = feats.select(key, F.posexplode(F.arrays_zip("xi", "xv")).alias("field", "p"))
     z = z.select(key, F.col("p.xi").cast("long").alias("idx"), F.col("p.xv").cast("double").alias("x"))
-    j = z.join(checked_broadcast(weights), "idx")
+    j = z.join(weights, "idx")
     aggs = [F.sum(F.col("w") * F.col("x")).alias("lin")]
     for f in range(k):
         aggs += [F.sum(F.col(f"v{f}") * F.col("x")).alias(f"s{f}"), F.sum(F.pow(F.col(f"v{f}") * F.col("x"), 2)).alias(f"q{f}")]
@@ -93,17 +92,18 @@ def deepfm_params(n_index: int = len(EVENT_TYPES) * SLOTS, n_fields: int = len(E
 
 
 def deepfm_forward(p: dict, xi: np.ndarray, xv: np.ndarray) -> np.ndarray:
-    """Numpy forward pass: FM terms + MLP(relu -> batch-norm) head, sigmoid."""
-    emb = p["emb"][xi] * xv[..., None]                      # (n, fields, k)
-    h = emb.reshape(len(xi), -1)
-    for L in p["layers"]:
-        h = np.maximum(h @ L["W"] + L["b"], 0.0)
-        h = (h - L["mean"]) / np.sqrt(L["var"] + 1e-5) * L["gamma"] + L["beta"]
-    y_dnn = (h @ p["out"]["W"] + p["out"]["b"]).ravel()
-    y1 = (p["w"][xi] * xv).sum(axis=1)
-    s = emb.sum(axis=1)
-    y2 = 0.5 * ((s * s).sum(axis=1) - (emb * emb).sum(axis=(1, 2)))
-    return 1.0 / (1.0 + np.exp(-(y1 + y_dnn + y2)))
+    """sigmoid(w.x + sum over i < j of <e_i, e_j> + MLP(e)) with e_i = x_i * embedding_i; the pair sum is
+    half of |sum e|^2 - sum |e|^2, a batch-norm is folded into one scale and shift per unit."""
+    rows, fields = xi.shape
+    e = np.einsum("nf,nfk->nfk", xv, p["emb"][xi])
+    logit = np.einsum("nf,nf->n", xv, p["w"][xi])
+    logit += (np.square(np.einsum("nfk->nk", e)).sum(1) - np.einsum("nfk,nfk->n", e, e)) / 2
+    act = e.reshape(rows, fields * e.shape[2])
+    for unit in p["layers"]:
+        scale = unit["gamma"] / np.sqrt(unit["var"] + 1e-5)
+        act = np.clip(act @ unit["W"] + unit["b"], 0, None) * scale + (unit["beta"] - unit["mean"] * scale)
+    logit += act @ p["out"]["W"][:, 0] + p["out"]["b"][0]
+    return 1.0 / (1.0 + np.exp(-logit))
 
 
 def batch_scorer(params: dict, key: str, max_records: int | None = None):

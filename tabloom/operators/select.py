@@ -49,7 +49,7 @@ def importance_report(imp: DataFrame, score_quantile: float | None = None, score
     """Threshold from a quantile of the scores (``is not None``, trap T37) or given;
     drop_less drops listed-and-low, else keeps only listed-and-high."""
     if score_quantile is None and score_threshold is None:
-        raise ValueError("either importance threshold or quantile need set")
+        raise ValueError("give score_threshold or score_quantile")
     thr = (imp.select(F.percentile(F.col(score), score_quantile)).scalar() if score_quantile is not None
            else F.lit(float(score_threshold)))
     if drop_less:
@@ -99,7 +99,7 @@ def feature_extract(df: DataFrame, label: str, null_percent: float = 0.8, catego
     d1 = [r[0] for r in nr]
     steps += [(c, "null") for c in d1]
     cur = cur.drop(*d1)
-    cr = category_report(cur.drop(label)).filter("dropped = 1").select("feature").collect()
+    cr = category_report(cur.drop(label), category_threshold).filter("dropped = 1").select("feature").collect()
     d2 = [r[0] for r in cr]
     steps += [(c, "category") for c in d2]
     cur = cur.drop(*d2)

@@ -93,6 +93,22 @@ def woe_transform_orders(spark, sf):
     return round_doubles(enc.woe_transform(df, fit, ["app_month"]).select("id", "app_month"))
 
 
+@register("woe_custkey_partkey", ["N6", "J7"], sql="""
+WITH r AS (SELECT l_orderkey, l_linenumber, CAST(o_custkey AS VARCHAR) AS c, CAST(l_partkey AS VARCHAR) AS p, CAST(l_returnflag = 'R' AS INT) AS y
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+tot AS (SELECT ln((sum(y) + 2.0) / (count(*) - sum(y) + 2.0)) AS lt FROM r),
+wc AS (SELECT c, ln((sum(y) + 1.0) / (count(*) - sum(y) + 1.0)) AS w FROM r GROUP BY 1),
+wp AS (SELECT p, ln((sum(y) + 1.0) / (count(*) - sum(y) + 1.0)) AS w FROM r GROUP BY 1)
+SELECT l_orderkey, l_linenumber, round(wc.w - lt, 6) AS c, round(wp.w - lt, 6) AS p FROM r JOIN wc USING (c) JOIN wp USING (p), tot""")
+def woe_custkey_partkey(spark, sf):
+    """WOE of two columns with as many values as there are customers and parts."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c"))
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p"), (F.col("l_returnflag") == "R").cast("int").alias("y"))
+    df = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "c", "p", "y")
+    fit = enc.woe_fit(df, "y", ["c", "p"])
+    return round_doubles(enc.woe_transform(df, fit, ["c", "p"]).select("l_orderkey", "l_linenumber", "c", "p"))
+
+
 @register("factorize_first_seen", ["N7", "T3"], sql="""
 WITH f AS (SELECT event_type, min(ts) AS first FROM events GROUP BY 1),
 c AS (SELECT event_type, row_number() OVER (ORDER BY first, event_type) - 1 AS code FROM f)

@@ -156,7 +156,7 @@ def gini_scored(spark, sf):
 # ---------------------------------------------------------------- E6/E7 -----------
 @register("top_hit_rate", ["E6", "O6", "T30"], sql=with_sql(SCORED_SQL, """
 r AS (SELECT y, row_number() OVER (ORDER BY p DESC, id) AS rk, count(*) OVER () AS n FROM scored),
-k AS (SELECT CASE WHEN floor(max(n) * 0.001) <= 10 THEN max(n) ELSE floor(max(n) * 0.001) END AS k,
+k AS (SELECT greatest(1, floor(max(n) * 0.001)) AS k,
              floor(max(n) * 0.3) AS k30 FROM r)""") + """
 SELECT round(sum(CASE WHEN rk <= k THEN y END) / max(k), 6) AS hit_rate, CAST(max(k) AS BIGINT) AS top_k,
        round(sum(CASE WHEN rk <= k30 THEN y END) / sum(y), 6) AS cover FROM r, k""")

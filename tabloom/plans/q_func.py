@@ -181,10 +181,11 @@ WITH tok AS (SELECT doc_id, pos, term FROM (
   SELECT doc_id, generate_subscripts(a, 1) - 1 AS pos, unnest(a) AS term
   FROM (SELECT doc_id, regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') AS a FROM documents)) WHERE term <> ''),
 p AS (SELECT a.term AS term_a, b.term AS term_b FROM tok a JOIN tok b ON a.doc_id = b.doc_id AND b.pos BETWEEN a.pos + 1 AND a.pos + 2)
-SELECT term_a, term_b, count(*) AS n FROM p GROUP BY 1, 2 HAVING count(*) >= 20""")
+SELECT term_a, term_b, count(*) AS n FROM p GROUP BY 1, 2""")
 def term_cooccurrence(spark, sf):
     from ..operators import text
-    return text.cooccurrence(tokens(spark, sf), window=2, min_count=20)
+    terms = F.filter(F.split(F.lower("text"), TOKEN_SPLIT), lambda t: t != "")
+    return text.cooccurrence(table(spark, sf, "documents"), terms, window=2)
 
 
 @register("mask_tokens", ["TX9"], sql=r"""

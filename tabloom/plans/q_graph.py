@@ -24,12 +24,17 @@ def parts(spark, sf):
     return table(spark, sf, "part").select(F.col("p_partkey").alias("id"), (F.col("p_retailprice") / 1000.0).alias("x"))
 
 
-@register("neighbour_pooling", ["G1", "G2"], sql=f"""
-WITH {EDGES_SQL}
-SELECT src, round(avg(p_retailprice / 1000.0), 6) AS mean_pool, round(max(p_retailprice / 1000.0), 6) AS max_pool,
-       round(sum(p_retailprice / 1000.0), 6) AS sum_pool FROM edges JOIN part ON dst = p_partkey GROUP BY 1""")
+@register("neighbour_pooling", ["G1"], sql=f"""
+WITH {EDGES_SQL},
+p AS (SELECT src, CAST(round(p_retailprice * 100) AS BIGINT) AS x FROM edges JOIN part ON dst = p_partkey),
+g AS (SELECT src, CAST(sum(x) AS BIGINT) AS s, max(x) AS m, count(*) AS n FROM p GROUP BY 1)
+SELECT src, ((20 * s + n) // (2 * n)) / 1000000.0 AS mean_pool, m / 100000.0 AS max_pool, s / 100000.0 AS sum_pool FROM g""")
 def neighbour_pooling(spark, sf):
-    return round_doubles(graph.neighbour_pool(edges(spark, sf), parts(spark, sf), "x"))
+    """Features are whole cents: sums are exact, and the mean is rounded half up in integers to 6 places of a thousand."""
+    cents = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.round(F.col("p_retailprice") * 100).cast("long").alias("x"))
+    g = graph.neighbour_pool(edges(spark, sf), cents, "x")
+    return g.select("src", (F.expr("(20 * sum_pool + n) div (2 * n)") / 1000000.0).alias("mean_pool"),
+                    (F.col("max_pool") / 100000.0).alias("max_pool"), (F.col("sum_pool") / 100000.0).alias("sum_pool"))
 
 
 @register("sym_norm_propagation", ["G3"], sql=f"""

@@ -47,11 +47,5 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
 
 def load_all():
     """Import every query module so that registration runs."""
-    from . import q_core, q_eval  # noqa: F401
-    for mod in ("q_guide", "q_encode", "q_text", "q_graph", "q_score", "q_stream", "q_io", "q_select", "q_func"):
-        try:
-            __import__(f"{__package__}.{mod}")
-        except ModuleNotFoundError as e:
-            if mod not in str(e):
-                raise
+    from . import q_core, q_encode, q_eval, q_func, q_graph, q_io, q_select, q_stream  # noqa: F401
     return QUERIES

@@ -1,4 +1,4 @@
-"""Session helpers: building a session, the shared scratch folder, checked broadcasts.
+"""Session helpers: building a session, the shared scratch folder, shipping the package.
 
 On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names; we only
 fall back to a folder of our own when nothing is configured (local tests).
@@ -9,12 +9,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Fixed defaults (our own choices, not reference values).
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def get_spark(master: str | None = None, app: str = "tabloom", shuffle_partitions: int | None = None,
@@ -40,6 +37,7 @@ def get_spark(master: str | None = None, app: str = "tabloom", shuffle_partition
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -51,7 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local tests: nothing configured by the cluster.
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tabloom-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -63,14 +62,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base.rstrip("/"), "tabloom-tables", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven below ``max_rows``.
-
-    The count runs on an already-aggregated side (a dictionary, a fitted table), so
-    it is cheap; above the bound the plain frame is returned and Spark shuffles.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per session: Python tasks import it by name wherever
+    the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tabloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tabloom-zip-"), "tabloom.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("tabloom", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._tabloom_shipped = True
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
