@@ -4,7 +4,9 @@ One pass over the texts makes a short vector of transformed statistics per docum
 shares of character classes, repetition, marks around words; never labels, language, source or
 id). Class means and covariances come from one Spark aggregate over all labelled training rows;
 each covariance is shrunk towards its diagonal and the identity, factorised once (Cholesky), and a
-document's score is the logistic of the difference of the two log densities plus log prior odds.
+document's odds are the difference of the two log densities plus the log prior odds. Densities of
+many dependent statistics are overconfident, so the score is a logistic of the odds whose slope and
+offset are fitted to the training rows' odds (a histogram of a bounded number of buckets).
 
 Defined results: null or empty texts get the statistics of an empty text and a score; several
 labels of a doc_id each count as a training row; labels that are null or not 0/1 and labels
@@ -30,6 +32,8 @@ THRESHOLD = 0.3
 #: Weights of the diagonal and of the identity in the shrunk covariance.
 SHRINK_DIAGONAL = 0.15
 SHRINK_IDENTITY = 0.02
+#: Odds beyond this count as this in the calibration: 2 * REACH + 1 buckets of width 1.
+REACH = 1000
 
 _KINDS = np.zeros(256, dtype=np.int64)  # 0 other ASCII, 1 lower, 2 upper, 3 digit, 4 space, 5 line break, 6 sentence marks, 7 beyond ASCII
 for _b in range(256):
@@ -77,7 +81,9 @@ def held_out(doc_id: Column) -> Column:
 
 
 class QuadraticDiscriminant:
-    """Two Gaussian classes with shrunk covariances and cached Cholesky factors."""
+    """Two Gaussian classes with shrunk covariances and cached Cholesky factors; score = logistic(slope * odds + offset)."""
+
+    slope, offset = 1.0, 0.0
 
     def __init__(self, counts, means, covariances):
         self.prior = (counts[1] + 1.0) / (counts[0] + counts[1] + 2.0)
@@ -95,17 +101,42 @@ class QuadraticDiscriminant:
             self.factors.append(np.linalg.inv(factor))
             self.log_det.append(2 * np.log(np.diag(factor)).sum())
 
+    def odds(self, x: np.ndarray) -> np.ndarray:
+        z = x / self.scale
+        density = [-0.5 * (((z - m) @ f.T) ** 2).sum(axis=1) - 0.5 * d for m, f, d in zip(self.means, self.factors, self.log_det)]
+        return density[1] - density[0] + np.log(self.prior / (1 - self.prior))
+
     def score(self, x: np.ndarray) -> np.ndarray:
         if not self.usable:
             return np.full(len(x), self.prior)
-        z = x / self.scale
-        density = [-0.5 * (((z - m) @ f.T) ** 2).sum(axis=1) - 0.5 * d for m, f, d in zip(self.means, self.factors, self.log_det)]
-        odds = density[1] - density[0] + np.log(self.prior / (1 - self.prior))
-        return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * self.odds(x) + self.offset, -500, 500)))
+
+    def calibrate(self, odds: np.ndarray, ones: np.ndarray, zeros: np.ndarray) -> None:
+        """Slope and offset by Newton steps on counts of both classes at given odds; targets a little
+        inside 0 and 1 keep the slope finite when the classes part cleanly."""
+        high, low = (ones.sum() + 1) / (ones.sum() + 2), 1 / (zeros.sum() + 2)
+        total, aim = ones + zeros, ones * high + zeros * low
+        centre, spread = np.average(odds, weights=total), max(np.sqrt(np.cov(odds, fweights=total.astype(int), ddof=0)), 1e-6)
+        u = np.stack([(odds - centre) / spread, np.ones(len(odds))], axis=1)
+        loss = lambda w: np.sum(total * np.logaddexp(0, u @ w) - aim * (u @ w)) + 1e-3 * w[0] ** 2
+        w = np.array([1.0, 0.0])
+        for _ in range(100):
+            p = 1 / (1 + np.exp(-np.clip(u @ w, -500, 500)))
+            gradient = u.T @ (total * p - aim) + [2e-3 * w[0], 0]
+            step = np.linalg.solve((u * (total * p * (1 - p))[:, None]).T @ u + np.diag([2e-3, 1e-9]), gradient)
+            size = 1.0
+            while size > 1e-8 and loss(w - size * step) > loss(w):
+                size /= 2
+            w = w - size * step
+            if np.abs(size * step).max() < 1e-9:
+                break
+        if w[0] > 0:
+            self.slope, self.offset = w[0] / spread, w[1] - w[0] * centre / spread
 
 
 def fit(features: DataFrame, labels: DataFrame) -> QuadraticDiscriminant:
-    """One aggregate over every labelled row outside the held-out fold: counts, sums and products."""
+    """One aggregate over every labelled row outside the held-out fold: counts, sums and products;
+    then a histogram of the same rows' odds."""
     k = len(FEATURES)
     marked = (labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("quality"))
               .filter(F.col("quality").isin(0, 1) & ~held_out(F.col("label_id"))))
@@ -125,7 +156,17 @@ def fit(features: DataFrame, labels: DataFrame) -> QuadraticDiscriminant:
         counts.append(n)
         means.append(mean)
         covariances.append(cov)
-    return QuadraticDiscriminant(counts, means, covariances)
+    model = QuadraticDiscriminant(counts, means, covariances)
+    if model.usable:
+        def bucketed(batches):
+            for batch in batches:
+                x = np.array(batch.column(1).to_pylist(), dtype=float).reshape(-1, k)
+                yield pa.record_batch([batch.column(0), pa.array(np.clip(np.rint(model.odds(x)), -REACH, REACH).astype(np.int32))], names=["quality", "bucket"])
+
+        seen = rows.mapInArrow(bucketed, "quality int, bucket int").groupBy("bucket").agg(F.sum("quality").alias("ones"), F.count(F.lit(1)).alias("n")).collect()
+        odds, ones, n = (np.array([float(r[c]) for r in sorted(seen)]) for c in ("bucket", "ones", "n"))
+        model.calibrate(odds, ones, n - ones)
+    return model
 
 
 def _scored(model: QuadraticDiscriminant, threshold: float, batches):
@@ -153,7 +194,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject; texts are not shuffled."""
-    model = fit(doc_columns(docs).mapInArrow(_features, "doc_id long, x array<double>"), labels)
+    model = fit(materialise(doc_columns(docs).mapInArrow(_features, "doc_id long, x array<double>")), labels)
     df = doc_columns(docs, carry=True)
     schema = T.StructType([*df.schema.fields, *T.StructType.fromDDL("score double, predicted int").fields])
     return restored(df.mapInArrow(lambda b: _scored(model, threshold, b), schema).filter("predicted = 1"), docs)
