@@ -12,6 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .rank import ordered_scan
 from .stats import equal_width_bucket, fit_minmax, label_totals, long_counts
 
@@ -57,9 +58,10 @@ def iv_table(df: DataFrame, x: str, label: str, bins_expr: Column | None = None)
     g = (df.select(b.alias("bins"), F.col(label).cast("long").alias("_y")).filter(F.col("bins").isNotNull())
          .groupBy("bins").agg((F.count(F.lit(1)) - F.sum("_y")).alias("good"), F.sum("_y").alias("bad"),
                               F.count(F.lit(1)).alias("total")))
-    w = Window.partitionBy()  # over the small per-bin table only
-    t = (g.withColumn("good_pct", F.col("good") / F.sum("good").over(w))
-         .withColumn("bad_pct", F.col("bad") / F.sum("bad").over(w))
+    g = cut_lineage(g)  # one row a bin, used several times
+    sums = g.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
+    t = (g.withColumn("good_pct", F.try_divide(F.col("good"), F.lit(sums["good"])))
+         .withColumn("bad_pct", F.try_divide(F.col("bad"), F.lit(sums["bad"])))
          .withColumn("goodRecall", F.col("good") / F.lit(float(N)))
          .withColumn("badRecall", F.col("bad") / F.lit(float(P)))
          .withColumn("groupRecall", F.col("total") / F.lit(float(T)))

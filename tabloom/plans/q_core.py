@@ -127,7 +127,7 @@ def flat_map_values(spark, sf):
     return words.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_words"), F.count_distinct("w").alias("n_distinct"))
 
 
-@register("map_partitions_revenue", ["P3", "D2"], sql="""
+@register("map_partitions_revenue", ["P3"], sql="""
 SELECT l_returnflag, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue, count(*) AS n
 FROM lineitem GROUP BY 1""")
 def map_partitions_revenue(spark, sf):
@@ -286,7 +286,7 @@ def group_by_function(spark, sf):
     return o.groupBy((F.col("o_orderkey") % 2).alias("parity")).agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("key_sum"))
 
 
-@register("group_values_chunks", ["A8", "A10"], sql="""
+@register("group_values_chunks", ["A8"], sql="""
 SELECT o_custkey, CAST((row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 8 AS BIGINT) AS part,
        o_orderkey FROM orders""")
 def group_values_chunks(spark, sf):
@@ -404,7 +404,7 @@ def value_samples_orders(spark, sf):
 
 
 # ------------------------------------------------------------------ W* ------------
-@register("window_mean_per_user", ["W1", "D3", "D4"], sql="""
+@register("window_mean_per_user", ["W1"], sql="""
 SELECT event_id, user_id, round(value - avg(value) OVER (PARTITION BY user_id), 6) AS centered,
        round(avg(value) OVER (PARTITION BY user_id), 6) AS mean_v FROM events""")
 def window_mean_per_user(spark, sf):

@@ -164,12 +164,22 @@ def qcut_equal_freq(spark, sf):
     return c.groupBy(F.col("o_totalprice").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("bin_cdf_map", ["N14"])
+@register("bin_cdf_map", ["N14"], sql="""
+WITH r AS (SELECT l_extendedprice AS x, row_number() OVER (ORDER BY l_extendedprice) - 1 AS pos, count(*) OVER () AS n FROM lineitem),
+i AS (SELECT CAST(floor(n * i / 20.0) AS BIGINT) AS p FROM (SELECT max(n) AS n FROM r), range(20) t(i) UNION SELECT max(n) - 1 FROM r),
+k AS (SELECT p, x FROM i JOIN r ON pos = p),
+e AS (SELECT x AS edge, min(p) AS p, row_number() OVER (ORDER BY x) - 1 AS j, count(*) OVER () AS k FROM k GROUP BY x),
+m AS (SELECT least(c, k - 2) AS bin, avg(x) AS mean FROM (SELECT r.x, max(e.j) AS c, max(e.k) AS k FROM r JOIN e ON e.p <= r.pos GROUP BY r.pos, r.x) GROUP BY 1),
+t AS (SELECT least(c, k - 2) AS bin, k, count(*) AS n FROM (SELECT r.pos, max(e.j) AS c, max(e.k) AS k FROM r JOIN e ON e.edge <= r.x GROUP BY r.pos) GROUP BY 1, 2)
+SELECT round(t.bin / (t.k - 1), 6) AS cdf, t.n, round(e.edge, 4) AS edge, round(m.mean, 4) AS mean FROM t JOIN m USING (bin) JOIN e ON e.j = t.bin""")
 def bin_cdf_map(spark, sf):
+    """Rows per CDF value, with the bin's edge and the mean that the inverse map returns."""
     li = table(spark, sf, "lineitem").select("l_extendedprice")
     fit = enc.bin_cdf_fit(li, "l_extendedprice", number_bins=20)
     tr = enc.bin_cdf_transform(li, "l_extendedprice", fit)
-    return round_doubles(tr.groupBy("cdf").agg(F.count(F.lit(1)).alias("n")))
+    counted = tr.groupBy("cdf").agg(F.count(F.lit(1)).alias("n"))
+    bins = fit.select((F.col("bin") / (F.col("n_edges") - 1.0)).alias("cdf"), "edge", "mean")
+    return round_doubles(counted.join(bins, "cdf"), 4).withColumn("cdf", F.round("cdf", 6))
 
 
 @register("ecdf_quantize", ["N15"], sql="""

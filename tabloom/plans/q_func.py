@@ -66,7 +66,7 @@ def llr_reward_scored(spark, sf):
     return round_doubles(mean_std(s, ["r", "r2"]))
 
 
-@register("array_ops_embeddings", ["F15", "F16", "F17", "F18", "F19", "F20", "F21", "F24"], sql="""
+@register("array_ops_embeddings", ["F15", "F16", "F18", "F19", "F24"], sql="""
 WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 u AS (SELECT label, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM e),
 m AS (SELECT label, i, avg(x) AS m FROM u GROUP BY 1, 2),
@@ -210,7 +210,7 @@ def fm_score_users(spark, sf):
     return round_doubles(score.fm_score(feats, score.fm_weights(spark)))
 
 
-@register("row_udf_parity", ["D1", "D2"], sql=with_sql(SCORED_SQL) + """
+@register("row_udf_parity", ["D1"], sql=with_sql(SCORED_SQL) + """
 SELECT count(*) AS n, round(sum(p * p), 4) AS sq FROM scored""")
 def row_udf_parity(spark, sf):
     """One row-at-a-time UDF kept for parity with the native form (slow path)."""

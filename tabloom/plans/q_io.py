@@ -51,7 +51,7 @@ def json_csv_roundtrip(spark, sf):
         F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
-@register("orc_partitioned_sql_on_file", ["IO10", "IO11", "IO14", "IO15", "IO16", "IO20"], sql="""
+@register("orc_partitioned_sql_on_file", ["IO10", "IO11", "IO14", "IO15", "IO16"], sql="""
 SELECT l_returnflag, count(*) AS n, round(sum(l_quantity), 4) AS qty FROM lineitem
 WHERE l_linestatus = 'F' GROUP BY 1""")
 def orc_partitioned_sql_on_file(spark, sf):

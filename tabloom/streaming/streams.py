@@ -33,7 +33,8 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> str:
     out, ckpt = scratch_path(spark, name), scratch_path(spark, name + "-ckpt")
 
     def sink(batch: DataFrame, epoch: int):
-        batch.withColumn("_epoch", F.lit(epoch)).write.mode("append").parquet(out)
+        # One folder an epoch, overwritten: a batch that is tried again replaces its own rows.
+        batch.write.mode("overwrite").parquet(f"{out}/_epoch={epoch}")
 
     q = (stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
