@@ -159,6 +159,20 @@ def read_chat(formatted: Column) -> Column:
         F.substring(p, cut(p) + 1, F.length(p) - cut(p) - len(END)).alias("body")))
 
 
+def masked_text(formatted: str, spans: str) -> Column:
+    """All text of ``formatted`` under the ``spans``, unescaped. Spans are cut out of pieces of the text
+    that hold up to _BLOCK of them, so that a long conversation costs no square."""
+    numbers = F.when(F.size(spans) > 0, F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / _BLOCK).cast("int"))).otherwise(F.array().cast("array<int>"))
+    cut = lambda text, start, stop, base: F.substring(text, (start - base + 1).cast("int"), (stop - start).cast("int"))
+
+    def heard(block):
+        base = block[0]["start"]
+        pieces = F.array(cut(F.col(formatted), base, F.element_at(block, -1)["stop"], F.lit(0)))
+        return F.transform(pieces, lambda piece: F.concat_ws("", F.transform(block, lambda s: unescape(cut(piece, s["start"], s["stop"], base)))))[0]
+
+    return F.concat_ws("", F.transform(F.transform(numbers, lambda b: F.slice(spans, b * _BLOCK + 1, _BLOCK)), heard))
+
+
 def conversation_records(conversations: DataFrame) -> DataFrame:
     """Rows of turns as one record a conversation, in the layout that its turns fit: prompt and
     response for one exchange, from/value lists where an exchange is led by a system text, else messages."""
@@ -185,8 +199,7 @@ def chat_digest(conversations: DataFrame) -> DataFrame:
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     out = format_chat(conversation_records(rows.unionByName(sly)), "conv_id")
     back = out.select("conv_id", "layout", "formatted", "loss_spans", read_chat(F.col("formatted")).alias("turns"))
-    heard = F.filter("turns", lambda t: t["role"] == "assistant")
-    back = back.select("*", F.concat_ws("", F.transform(heard, lambda t: t["text"])).alias("loss_text"))
+    back = back.select("*", masked_text("formatted", "loss_spans").alias("loss_text"))
     sha = lambda c: F.sha2(c.cast("binary"), 256)
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"),
