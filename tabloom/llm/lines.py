@@ -20,7 +20,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,7 @@ from .common import doc_columns, materialise, mix64, text_bytes, text_chunks
 #: Keys of a shard, and probes of a task that meets one, about.
 SHARD_KEYS = 100_000
 TASK_PROBES = 100_000
-#: At least so many tasks' worth of probe groups, so that they spread evenly.
+#: At least so many probe groups in all, so that they spread evenly.
 LEAST_SALTS = 64
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -173,7 +173,9 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, digest:
     """
     df = doc_columns(docs)
     hashed = df.mapInArrow(lambda b: _hashes(min_chars, b), "doc_id long, h1 long, h2 long")
+    seen = Observation()
     counted = (hashed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last"))
+               .observe(seen, F.coalesce(F.sum("n"), F.lit(0)).alias("probes"))
                .filter(F.col("n") >= min_docs).withColumn("last", F.coalesce("last", F.lit(-(1 << 63)))))
     frequent = materialise(counted)
     n_keys = frequent.count()
@@ -181,7 +183,8 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, digest:
     shard = F.pmod(F.col("h1"), F.lit(shards)).cast("int")
     frequent = frequent.withColumn("shard", shard)
     # A shard is probed in as many salted groups as its frequent lines' rows and an even share of the rest ask for.
-    load = frequent.groupBy("shard").agg((F.greatest(F.lit(LEAST_SALTS), F.ceil(F.sum("n") / TASK_PROBES))).cast("int").alias("salts"))
+    share = seen.get["probes"] / shards
+    load = frequent.groupBy("shard").agg(F.greatest(F.lit(math.ceil(LEAST_SALTS / shards)), F.ceil((F.sum("n") + share) / TASK_PROBES)).cast("int").alias("salts"))
     index = materialise(frequent.groupBy("shard").applyInArrow(build_shard, SHARD_SCHEMA).join(load, "shard"))
     # One pair of ints for every SHARD_KEYS frequent lines: a broadcast of megabytes at 10**10 such lines.
     salts = F.broadcast(index.select("shard", "salts"))
