@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 #: Parts that the weights are rounded to, and slots of a period.
 PARTS = 4096
 BLOCK_DOCS = 16
-#: Documents that one ranking task sorts, about.
-BUCKET_DOCS = 20_000
+#: Documents that one ranking task sorts, about, and buckets whose sizes one task adds up.
+BUCKET_DOCS = 1_000
+SPAN_BUCKETS = 4_096
 
 
 def rounded_weights(targets: dict, parts: int = PARTS) -> dict:
@@ -88,7 +89,7 @@ def mix_sources(docs: DataFrame, targets: dict, block_docs: int = BLOCK_DOCS, pa
     df = docs.withColumns({"__mix_src": tag, "__mix_order": order}).withColumn("__mix_bucket", F.pmod("__mix_order", F.lit(buckets)))
     # Rank in the source = documents of earlier buckets + rank in the bucket: a hot source is as many buckets as it fills.
     sizes = df.groupBy("__mix_src", "__mix_bucket").agg(F.count(F.lit(1)).alias("__mix_n"))
-    earlier = sizes.withColumn("__mix_before", F.sum("__mix_n").over(Window.partitionBy("__mix_src").orderBy("__mix_bucket")) - F.col("__mix_n")).drop("__mix_n")
+    earlier = _documents_before(sizes)
     inside = F.row_number().over(Window.partitionBy("__mix_src", "__mix_bucket").orderBy("__mix_order", "doc_id")) - 1
     ranked = df.withColumn("__mix_rank", inside).join(earlier, ["__mix_src", "__mix_bucket"])
     ranked = ranked.withColumn("mix_block", F.floor((F.col("__mix_before") + F.col("__mix_rank")) / block_docs))
@@ -110,6 +111,17 @@ def mix_sources(docs: DataFrame, targets: dict, block_docs: int = BLOCK_DOCS, pa
 _OUT = ["mix_block", "mix_release", "mix_deadline", "mix_slot", "in_mix"]
 
 
+def _documents_before(sizes: DataFrame) -> DataFrame:
+    """For every bucket the documents of its source in earlier buckets: running sums inside spans of
+    buckets, plus running sums over the spans."""
+    spans = sizes.withColumn("__mix_span", F.floor(F.col("__mix_bucket") / SPAN_BUCKETS))
+    totals = spans.groupBy("__mix_src", "__mix_span").agg(F.sum("__mix_n").alias("__mix_t"))
+    outer = F.sum("__mix_t").over(Window.partitionBy("__mix_src").orderBy("__mix_span")) - F.col("__mix_t")
+    inner = F.sum("__mix_n").over(Window.partitionBy("__mix_src", "__mix_span").orderBy("__mix_bucket")) - F.col("__mix_n")
+    here = spans.withColumn("__mix_inner", inner).join(totals.withColumn("__mix_outer", outer), ["__mix_src", "__mix_span"])
+    return here.select("__mix_src", "__mix_bucket", (F.col("__mix_outer") + F.col("__mix_inner")).alias("__mix_before"))
+
+
 def _by_source(weights: dict):
     rows: dict = {s: [] for s in weights}
     for x in period(weights) if weights else ():
