@@ -36,6 +36,10 @@ ROWS = 5
 BANDS = 2 * PERMUTATIONS // ROWS
 #: Members of a block of a family.
 BLOCK = 512
+#: Postings read at once, at most.
+_POSTINGS = 1 << 21
+#: Parts that a large family's members are dealt to while they are placed in blocks.
+_SALTS = 64
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20240229)
 _FACTORS = _rng.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -142,13 +146,16 @@ def confirmed_links(left: list[np.ndarray], right: list[np.ndarray] | None, perc
     ends = np.searchsorted(owner, np.arange(len(sets) + 1))
     forest, out = Forest(len(sets)), []
     first = 0 if right is None else len(left)
+    step = max(1, _POSTINGS // len(sets))
     for i in range(len(left)):
         mine = term[ends[i]:ends[i + 1]]
         if not mine.size:
             continue
-        spans = counts[mine]
-        at = np.repeat(starts[mine] - np.r_[0, np.cumsum(spans)[:-1]], spans) + np.arange(spans.sum())
-        shared = np.bincount(posted[at], minlength=len(sets))
+        shared = np.zeros(len(sets), dtype=np.int64)
+        for at in range(0, mine.size, step):
+            some = mine[at:at + step]
+            spans = counts[some]
+            shared += np.bincount(posted[np.repeat(starts[some] - np.r_[0, np.cumsum(spans)[:-1]], spans) + np.arange(spans.sum())], minlength=len(sets))
         ok = 100 * shared >= percent * (sizes[i] + sizes - shared)
         ok[:max(first, i + 1)] = False
         for j in np.flatnonzero(ok):
@@ -191,13 +198,19 @@ def _pairs_of_blocks(members: DataFrame, percent: int) -> DataFrame:
     A family of up to BLOCK members is one block. A larger one is cut into classes by set size, so
     wide that only equal or neighbouring classes can hold a link, and each class into blocks by hash.
     """
-    size = members.groupBy("family").agg(F.count(F.lit(1)).alias("c"))
     width = 100.0 / percent * 1.01
-    kind = F.when(F.col("c") <= BLOCK, F.lit(0)).otherwise(F.floor(F.log("n") / F.log(F.lit(width)))).cast("long")
-    df = members.join(size, "family").withColumn("kind", kind).drop("c")
-    counts = df.groupBy("family", "kind").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("here"))
-    near = counts.groupBy("family").agg(F.map_from_entries(F.collect_list(F.struct("kind", "here"))).alias("blocks"))  # an entry a size class
-    df = df.join(near, "family")
+    size = members.groupBy("family").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > BLOCK)
+    # Large families are one in BLOCK members at most: they go to every salt, so that no task meets a whole family.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")
+    salted = members.withColumns({"salt": F.pmod(F.xxhash64("member"), F.lit(_SALTS)).cast("int"),
+                                  "class": F.floor(F.log("n") / F.log(F.lit(width))).cast("long")})
+    # Sizes of the classes of large families; the count by salt is merged per class, a row a salt.
+    large = salted.join(size.select("family", salts), ["family", "salt"], "left_semi")
+    counts = large.groupBy("family", "class").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("here"))
+    near = counts.groupBy("family").agg(F.map_from_entries(F.collect_list(F.struct("class", "here"))).alias("blocks"))  # an entry a size class
+    df = salted.join(near.select("family", "blocks", salts), ["family", "salt"], "left")
+    alone = F.create_map(F.lit(0).cast("long"), F.lit(1).cast("long"))
+    df = df.withColumns({"kind": F.when(F.col("blocks").isNull(), F.lit(0).cast("long")).otherwise(F.col("class")), "blocks": F.coalesce("blocks", alone)})
     span = lambda k: F.coalesce(F.try_element_at("blocks", k), F.lit(0))
     number = lambda k, i: k * (1 << 24) + i
     df = df.withColumn("sub", F.pmod(F.xxhash64("member"), span(F.col("kind")))).withColumn("block", number(F.col("kind"), F.col("sub")))
