@@ -1,7 +1,7 @@
 """Secret scan over a document-sharded trigram inverted index.
 
-Each rule's keywords give a Boolean query: any of its alternatives, each of which needs all its
-trigrams. A task indexes its shard of texts (postings from trigram to texts, for the trigrams of
+Each rule's pattern gives a Boolean query: its parse tree yields sets of strings of which every match
+holds one, and the sets become alternatives that each need all their trigrams. A task indexes its shard of texts (postings from trigram to texts, for the trigrams of
 the rules' queries), intersects the postings, and runs the rule's pattern on the candidates only.
 A rule without mandatory trigrams scans every text. The index is partitioned by document, so
 nothing is shuffled and memory is bounded by the chunk of texts in hand.
@@ -15,6 +15,8 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass
+from re import _constants as token
+from re import _parser as parser
 
 import numpy as np
 import pyarrow as pa
@@ -25,26 +27,24 @@ from .common import doc_columns, text_bytes, text_chunks
 
 @dataclass(frozen=True)
 class Rule:
-    """``alternatives``: literals (in lower case) of which every match holds at least one."""
+    """Matches of ``pattern`` whose ``group`` has ``least`` characters."""
 
     kind: str
     pattern: str
-    alternatives: tuple = ()
     group: int = 0
     least: int = 0
     base: bool = True
 
 
 RULES = (
-    Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-         ("password", "passwd", "secret", "token", "api_key", "apikey"), 2, 8),
-    Rule("access", r"AKIA[A-Z0-9]+", ("akia",), 0, 16),
+    Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 16),
     # Runs are maximal, so asking for 32 in the pattern drops the same matches as a check afterwards.
-    Rule("hex", r"[0-9a-f]{32,}", (), 0, 32),
-    Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", ("private key-----",), base=False),
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), base=False),
-    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", ("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-"), base=False),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}", ("eyj",), base=False),
+    Rule("hex", r"[0-9a-f]{32,}", 0, 32),
+    Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", base=False),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", base=False),
+    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", base=False),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}", base=False),
 )
 
 SCHEMA = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_verified int")
@@ -55,10 +55,93 @@ def trigrams(literal: str) -> list[int]:
     return sorted({b[i] << 16 | b[i + 1] << 8 | b[i + 2] for i in range(len(b) - 2)})
 
 
+class _Stretch:
+    """Reads a parse tree: ``exact`` are all texts (in lower case) that the current stretch can have, and
+    ``needs`` are sets of strings of which every match holds one each."""
+
+    #: Texts of a stretch, and characters of a class that is spelled out.
+    MOST, CLASS = 64, 8
+
+    def __init__(self):
+        self.exact, self.needs, self.whole = {""}, [], True
+
+    def cut(self):
+        """What follows is not known as text: the stretch so far becomes a need."""
+        self.whole = False
+        if min(map(len, self.exact)) >= 3:
+            self.needs.append({x for x in self.exact if not any(y != x and y in x for y in self.exact)})
+        self.exact = {""}
+
+    def add(self, texts: set[str]):
+        if len(self.exact) * len(texts) > self.MOST:
+            self.cut()
+            texts = texts if len(texts) <= self.MOST else {""}
+        self.exact = {x + y for x in self.exact for y in texts}
+
+    def inside(self, tree) -> "_Stretch":
+        """A part read by itself; ``whole`` tells that it is one stretch, never cut."""
+        part = _Stretch()
+        part.read(tree)
+        return part
+
+    def read(self, tree):
+        for op, value in tree:
+            if op is token.LITERAL:
+                self.add({chr(value).lower() if value < 128 else chr(value)})
+            elif op is token.IN and (texts := _members(value)):
+                self.add(texts)
+            elif op is token.SUBPATTERN:
+                self.read(value[3])
+            elif op is token.BRANCH:
+                parts = [self.inside(t) for t in value[1]]
+                if all(p.whole for p in parts):
+                    self.add(set().union(*(p.exact for p in parts)))
+                    continue
+                self.cut()
+                for p in parts:
+                    p.cut()
+                if all(p.needs for p in parts):  # one need of every branch
+                    self.needs.append(set().union(*(min(p.needs, key=len) for p in parts)))
+            elif op in (token.MAX_REPEAT, token.MIN_REPEAT, token.POSSESSIVE_REPEAT):
+                least, most, again = value
+                part = self.inside(again)
+                if part.whole and (least, most) == (0, 1):
+                    self.add(part.exact | {""})
+                    continue
+                for _ in range(min(least, 8)):
+                    self.read(again)
+                if most > min(least, 8):
+                    self.cut()
+            elif op is not token.AT:  # any character, look-arounds, back references: nothing is known
+                self.cut()
+
+
+def _members(options) -> set[str]:
+    """The characters of a class in lower case; empty if it is negated, named or large."""
+    out: set[str] = set()
+    for op, value in options:
+        if op is token.LITERAL:
+            out.add(chr(value))
+        elif op is token.RANGE and value[1] - value[0] < _Stretch.CLASS:
+            out.update(map(chr, range(value[0], value[1] + 1)))
+        else:
+            return set()
+    return {c.lower() if c.isascii() else c for c in out} if len(out) <= _Stretch.CLASS else set()
+
+
 def boolean_query(rule: Rule) -> list[list[int]] | None:
-    """Any of these lists of trigrams, each as a whole; None if the rule has to scan everything."""
-    clauses = [trigrams(a) for a in rule.alternatives]
-    return clauses if clauses and all(clauses) else None
+    """Any of these lists of trigrams, each as a whole; None if the pattern has no mandatory trigrams
+    and the rule has to scan everything."""
+    found = _Stretch()
+    found.read(parser.parse(rule.pattern, re.ASCII))
+    found.cut()
+    query: list[set[int]] = []
+    for need in sorted(found.needs, key=len):
+        lists = [set(trigrams(x)) for x in need]
+        if query and len(query) * len(lists) > _Stretch.MOST:
+            break  # the query stays necessary with fewer of its needs
+        query = [a | b for a in query for b in lists] if query else lists
+    return sorted(map(sorted, query)) or None
 
 
 def build_postings(texts: list[bytes], wanted: np.ndarray) -> dict[int, np.ndarray]:

@@ -93,6 +93,33 @@ def test_trigram_queries():
     assert secrets.candidates(postings, [secrets.trigrams("token")], 3).tolist() == [0]
 
 
+def test_trigram_queries_come_from_the_pattern():
+    query = lambda pattern: secrets.boolean_query(secrets.Rule("x", pattern))
+    grams = lambda *texts: sorted(sorted({g for x in t for g in secrets.trigrams(x)}) for t in texts)
+    assert query("abcd") == grams(["abcd"]) and query("ABcd") == grams(["abcd"])
+    assert query("ab(cd|ef)g") == grams(["abcdg"], ["abefg"]) and query("ab?cde") == grams(["acde"], ["abcde"])
+    assert query("abc.*def") == grams(["abc", "def"]) and query("(?:abc.|xyz[0-9]+)end") == grams(["abc", "end"], ["xyz", "end"])
+    assert query("(?:abc)+") == grams(["abc"]) and query("a{5}") == grams(["aaaaa"]) and query("é[^a]bcd") == grams(["bcd"])
+    for pattern in ("ab", "(?:abc)*", "abc|de", "[a-z]+", "(?=abc)..", "(?:abc|x.)y", r"\w{9}", ""):
+        assert query(pattern) is None, pattern
+
+
+def test_every_match_is_a_candidate():
+    rng = random.Random(3)
+    made = {"assign": lambda: rng.choice(["PassWord", "passwd", "SECRET", "token", "apikey", "Api_Key"]) + rng.choice(["", '"']) + rng.choice([":", " = ", "='"]) + "abcd+efgh12",
+            "access": lambda: "AKIA" + "Z9" * 10, "pem": lambda: "-----BEGIN " + rng.choice(["", "RSA ", "EC X "]) + "PRIVATE KEY-----",
+            "github": lambda: f"gh{rng.choice('pousr')}_" + "aB3" * 13, "slack": lambda: f"xox{rng.choice('abprs')}-" + "a1-" * 5, "jwt": lambda: "eyJ" + ".".join(["aB_-" * 4] * 3)}
+    for rule in secrets.RULES:
+        query = secrets.boolean_query(rule)
+        if query is None:
+            assert rule.kind == "hex"
+            continue
+        wanted = np.array(sorted({g for c in query for g in c}))
+        texts = [f"é {made[rule.kind]()} text" for _ in range(40)] + ["nothing here"]
+        assert all(re.search(rule.pattern, t, re.ASCII) for t in texts[:-1])
+        assert secrets.candidates(secrets.build_postings([t.encode() for t in texts], wanted), query, len(texts)).tolist() == list(range(40))
+
+
 def test_lines(docs, empty):
     got = lines.line_dedup(docs)
     same(tuples(got, ["doc_id", "n_lines", "n_dropped", "kept_text"]), brute.line_dedup(awkward()))
