@@ -236,7 +236,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     members = families.union(families.select("b", "b").distinct()).toDF("member", "family")
     placed = materialise(_pairs_of_blocks(members.join(classes.groupBy("rep").agg(F.max("n").alias("n")).withColumnRenamed("rep", "member"), "member"), percent))
     # Full sets of the families' members, of the texts that lead their class.
-    texts = df.join(placed.select(F.col("member").alias("doc_id"), "family", "block", "meets"), "doc_id")
+    # A table of all members has no bound, so it is never sent to every task: the texts meet it by shuffle at every size.
+    texts = df.join(placed.select(F.col("member").alias("doc_id"), "family", "block", "meets").hint("merge"), "doc_id")
     sets = texts.mapInArrow(lambda b: _sets(words, b), "rep long, family long, block long, meets array<struct<lo:bigint,hi:bigint>>, shingles binary")
     met = sets.select("rep", "family", "block", "shingles", F.explode("meets").alias("m")).select("family", "m.lo", "m.hi", "block", "rep", "shingles")
     dealt = met.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi", "rep")
