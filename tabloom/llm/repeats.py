@@ -7,10 +7,10 @@ offsets around the anchor:
 
 1. rank 32: anchors are dealt by the hash of their 32 bytes and sorted; an anchor whose rank is
    unique cannot be in a repeat and leaves (unless its own run holds it twice);
-2. rank of the pair (32 bytes, the whole run of its windows, past the threshold): equal pairs stand
-   for equal runs; all but the first in (doc_id, position) order are repeats as a whole. What is
-   repeated inside a batch of texts is settled there, so a passage shared by a third of all
-   documents costs one row a batch, not one a document;
+2. rank of the pair (32 bytes, the whole run of its windows, past the threshold), by a 128-bit digest
+   of the run's bytes: equal pairs stand for equal runs; all but the first in (doc_id, position)
+   order are repeats as a whole. What is repeated inside a batch of texts is settled there, so a
+   passage shared by a third of all documents costs one row a batch, not one a document;
 3. anchors that share rank 32 but not the run: their runs' bytes are compared window by window,
    grouped by rank 32 in tasks that stream; each window but the first of its kind is a repeat. The
    windows of a hot rank are dealt one by one, again settled in their batch first.
@@ -80,12 +80,13 @@ def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 def window_runs(texts: list[bytes], length: int = LENGTH, prefix: int = PREFIX):
-    """Arrays (text, first window, number of windows, rank of the anchor, rank of the run, loops) of the
-    runs of windows that share an anchor. ``loops``: the anchor's prefix occurs twice in the run, so
-    the run may repeat a window by itself."""
-    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    """Arrays (text, first window, number of windows, rank of the anchor, both halves of the rank of the
+    run, loops) of the runs of windows that share an anchor. ``loops``: the anchor's prefix occurs
+    twice in the run, so the run may repeat a window by itself."""
+    whole = b"".join(texts)
+    data = np.frombuffer(whole, dtype=np.uint8)
     if data.size < length:
-        return tuple(np.zeros(0, dtype=d) for d in (np.int64, np.int64, np.int64, np.uint64, np.uint64, bool))
+        return tuple(np.zeros(0, dtype=d) for d in (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint64, bool))
     sizes = np.array([len(t) for t in texts])
     starts = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(texts)), sizes)
@@ -105,20 +106,21 @@ def window_runs(texts: list[bytes], length: int = LENGTH, prefix: int = PREFIX):
         total = np.repeat(count, pieces)
         first, count = np.repeat(first, pieces) + at * span, np.minimum(span, total - at * span)
     key = least[first]
-    run = roll(first, count + (length - 1)) ^ mix64(count.astype(np.uint64))
+    digests = b"".join([xxhash.xxh3_128_digest(whole[a:b]) for a, b in zip(first.tolist(), (first + count + (length - 1)).tolist())])
+    run, more = np.frombuffer(digests, dtype=np.uint64).reshape(-1, 2).T
     # Anchors: positions whose rank is the least of some window over them.
     edge = np.zeros(span - 1, dtype=np.uint64)
     spots = np.flatnonzero(sliding(np.r_[edge, least, edge], span, np.maximum)[:rank.size] == rank)
     twins = spots[:-1][(rank[spots[1:]] == rank[spots[:-1]]) & (np.diff(spots) < span)]
     loops = np.searchsorted(twins, first + count + span - 1) > np.searchsorted(twins, first)
     text = owner[first]
-    return text, first - starts[text], count, key, run, loops
+    return text, first - starts[text], count, key, run, more, loops
 
 
 #: Runs under one rank from which their windows are dealt one by one.
 HOT = 4096
 _NO_ID = (1 << 63) - 1
-_RUNS = "key long, run int, doc long, tie int, at long, n int, loops boolean"
+_RUNS = "key long, run long, more long, doc long, tie int, at long, n int, loops boolean"
 
 
 def _batch(names: str, arrays) -> pa.RecordBatch:
@@ -146,9 +148,9 @@ def _merged(doc, tie, start, stop):
     return doc[at], tie[at], start[at], reach[np.r_[at[1:] - 1, doc.size - 1]] - part[at] * wide
 
 
-def _settle(key, run, doc, tie, at):
-    """For rows sorted by all five: (rows that repeat an earlier equal row's run, distinct first rows)."""
-    same_run = np.r_[False, (key[1:] == key[:-1]) & (run[1:] == run[:-1])]
+def _settle(rank, doc, tie, at):
+    """For rows sorted by all, with a tuple of columns as rank: (rows that repeat an earlier equal row's run, distinct first rows)."""
+    same_run = np.r_[False, np.logical_and.reduce([x[1:] == x[:-1] for x in rank])]
     same_row = np.r_[False, same_run[1:] & (doc[1:] == doc[:-1]) & (tie[1:] == tie[:-1]) & (at[1:] == at[:-1])]
     first = ~same_run
     # An equal row repeated is the first itself, as long as nothing else came between.
@@ -172,15 +174,16 @@ def _runs_of_texts(batches):
                 r = window_runs(part)
                 found.append((r[0] + row, *r[1:]))
                 row, part, size = i + 1, [], 0
-        text, at, n, key, run, loops = (np.concatenate(x) for x in zip(*found))
-        doc, tie, key, run = docs[text], ties[text], _signed(key), (run >> np.uint64(32)).astype(np.uint32).view(np.int32)
-        order = np.lexsort((at, tie, doc, run, key))
-        doc, tie, at, n, key, run, loops = (x[order] for x in (doc, tie, at, n, key, run, loops))
-        again, first = _settle(key, run, doc, tie, at)
-        yield _batch(_RUNS, (key[first], run[first], doc[first], tie[first], at[first], n[first], loops[first]))
+        text, at, n, key, run, more, loops = (np.concatenate(x) for x in zip(*found))
+        doc, tie, key, run, more = docs[text], ties[text], _signed(key), _signed(run), _signed(more)
+        order = np.lexsort((at, tie, doc, more, run, key))
+        doc, tie, at, n, key, run, more, loops = (x[order] for x in (doc, tie, at, n, key, run, more, loops))
+        again, first = _settle((key, run, more), doc, tie, at)
+        yield _batch(_RUNS, (key[first], run[first], more[first], doc[first], tie[first], at[first], n[first], loops[first]))
         d, t, start, stop = _merged(doc[again], tie[again], at[again], at[again] + n[again] + (LENGTH - 1))
         none = pa.nulls(d.size, pa.bool_())
-        yield _batch(_RUNS, (stop, np.zeros(d.size, dtype=np.int32), d, t, start, np.zeros(d.size, dtype=np.int32), none))
+        zero = np.zeros(d.size, dtype=np.int64)
+        yield _batch(_RUNS, (stop, zero, zero, d, t, start, np.zeros(d.size, dtype=np.int32), none))
 
 
 _SETTLED = "doc long, tie int, start long, stop long, key long, runs int"
@@ -211,13 +214,13 @@ def _complete_groups(batches, columns: int):
 
 def _settle_runs(batches):
     """Rows of _RUNS sorted by rank, run and position -> ranges (runs = 0) and runs still to compare (runs > 0)."""
-    for cols in _complete_groups(batches, 7):
-        loops = cols[6].fill_null(False).to_numpy(zero_copy_only=False)
-        key, run, doc, tie, at, n = (np.asarray(c) for c in cols[:6])
+    for cols in _complete_groups(batches, 8):
+        loops = cols[7].fill_null(False).to_numpy(zero_copy_only=False)
+        key, run, more, doc, tie, at, n = (np.asarray(c) for c in cols[:7])
         ready = n == 0
         yield _batch(_SETTLED, (doc[ready], tie[ready], at[ready], key[ready], np.zeros(ready.sum(), dtype=np.int64), np.zeros(ready.sum(), dtype=np.int32)))
-        key, run, doc, tie, at, n, loops = (x[~ready] for x in (key, run, doc, tie, at, n, loops))
-        again, first = _settle(key, run, doc, tie, at)
+        key, run, more, doc, tie, at, n, loops = (x[~ready] for x in (key, run, more, doc, tie, at, n, loops))
+        again, first = _settle((key, run, more), doc, tie, at)
         stop = at + n + (LENGTH - 1)
         group = np.cumsum(np.r_[True, key[1:] != key[:-1]]) - 1 if key.size else np.zeros(0, dtype=np.int64)
         runs = np.bincount(group, weights=first)[group].astype(np.int32) if key.size else np.zeros(0, dtype=np.int32)
@@ -282,7 +285,7 @@ def _settle_windows(batches):
 def _repeated(key, value, doc, tie, at):
     order = np.lexsort((at, tie, doc, value, key))
     key, value, doc, tie, at = (x[order] for x in (key, value, doc, tie, at))
-    again, _ = _settle(key, value, doc, tie, at)
+    again, _ = _settle((key, value), doc, tie, at)
     return doc[again], tie[again], at[again], at[again] + LENGTH
 
 
@@ -312,7 +315,7 @@ def remove_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     df = doc_columns(docs).select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     df = df.select("doc", "text", F.pmod(F.xxhash64("text"), F.lit(1 << 31)).cast("int").alias("tie"))
     runs = df.mapInArrow(_runs_of_texts, _RUNS)
-    ranked = runs.repartition("key").sortWithinPartitions("key", "run", "doc", "tie", "at")
+    ranked = runs.repartition("key").sortWithinPartitions("key", "run", "more", "doc", "tie", "at")
     settled = materialise(ranked.mapInArrow(_settle_runs, _SETTLED))
     todo = settled.filter("runs > 0").groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "stop", "key", "runs")).alias("todo"))
     pieces = df.join(todo, ["doc", "tie"]).select("doc", "text", "tie", "todo").mapInArrow(_cut_pieces, _PIECES)

@@ -213,6 +213,14 @@ def test_repeats_window_by_window(spark, monkeypatch):
     same(tuples(got, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]), brute.repeats(rows))
 
 
+def test_repeats_tell_runs_apart_by_all_their_bytes(spark):
+    # Two texts that share an anchor and 32 bits of the rolling hash, but no window of 100 bytes.
+    rows = [(i, f"one line that a great many documents share, word for word, 7|{i:039d}"[:100]) for i in (7870, 313519)]
+    got = repeats.remove_repeats(frame(spark, rows), digest=True)
+    same(tuples(got, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]), brute.repeats(rows))
+    assert all(r["n_removed"] == 0 and r["n_bytes"] == 100 for r in got.collect())
+
+
 def test_top_k(spark):
     r = np.random.default_rng(3)
     rows = [(i, [float(x) for x in r.normal(0, 0.2, 16)]) for i in range(400)]
