@@ -277,6 +277,43 @@ def test_period_meets_every_window():
         assert [x[4] for x in laid] == list(range(64)) and all(r <= slot < d for _, _, r, d, slot in laid)
 
 
+def test_a_long_mix_stays_a_block_from_the_targets(spark):
+    # Seven equal targets: rounded to 4096 parts they were 4 blocks off after 21,000 slots.
+    docs = spark.range(21_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.concat(F.lit("s"), (F.col("id") % 7).cast("string")).alias("source"))
+    out = mixing.mix_sources(docs, {f"s{i}": 1 for i in range(7)}, block_docs=1).select("source", "mix_slot", "in_mix").collect()
+    assert sorted(r["mix_slot"] for r in out) == list(range(21_000)) and all(r["in_mix"] for r in out)
+    had = dict.fromkeys((f"s{i}" for i in range(7)), 0)
+    for t, r in enumerate(sorted(out, key=lambda r: r["mix_slot"]), 1):
+        had[r["source"]] += 1
+        assert all(abs(7 * n - t) < 7 for n in had.values())
+
+
+def test_targets_under_a_part_and_very_many_sources(spark):
+    docs = spark.range(9_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.when(F.col("id") == 0, "b").otherwise("a").alias("source"))
+    out = mixing.mix_sources(docs, {"a": 9_999, "b": 1}, block_docs=1).filter("in_mix").groupBy("source").count().collect()
+    assert {r["source"]: r["count"] for r in out} == {"a": 8_999}  # rounded to 1/4096, b's second block was due by slot 8,192 and ended the mix there
+    few = mixing.mix_sources(docs.limit(20), {"a": 1, "b": 1, **{f"none{i}": 1 for i in range(5_000)}})
+    assert few.filter("mix_slot IS NULL").count() == 0
+
+
+def test_ranges_of_slots_are_laid_out_alone():
+    rng = random.Random(11)
+    cases = [{f"s{i}": rng.choice((1, 2, 7, rng.randrange(1, 500))) for i in range(rng.randrange(1, 12))} for _ in range(60)]
+    for targets in [*cases, {f"s{i}": (i + 1) ** 0.5 for i in range(9)}, {"a": 0.999, "b": 0.0005, "c": 0.0005}, {str(i): 1 for i in range(40)}]:
+        plan = mixing.Schedule(mixing.exact_weights(targets))
+        had, whole = [0] * len(targets), []
+        for (k, j, slot), _ in zip(plan.sweep(0), range(600)):
+            assert plan.done(slot) == had and had[k] == j and plan.release(k, j) <= slot < plan.due(k, j)
+            had[k] += 1
+            assert all(abs(n * plan.parts - (slot + 1) * w) < plan.parts for n, w in zip(had, plan.weights))
+            whole.append((plan.release(k, j), k, j, slot))
+        some = sorted(rng.sample(whole, 40))
+        assert [plan.slot(k, j) for _, k, j, _ in some] == [x[3] for x in some]
+        for far in (plan.far, 3):
+            plan.far = far
+            assert list(plan.slots((k, j) for _, k, j, _ in some)) == [x[3] for x in some]
+
+
 def test_quality(spark, sf, docs, empty):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     whole = spark.read.parquet(f"{sf}/documents.parquet")
