@@ -14,34 +14,65 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import sparse_overlay
+from .rank import ordered_scan
 
-# Fixed model shape of the demo scorer (our own choice, not a reference value).
+# Base shape of the demo scorer (our own choice, not a reference value): types and counts beyond it get
+# fields and indices after these.
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 SLOTS = 100
+BASE = len(EVENT_TYPES) * SLOTS
 K = 4
 
 
-def fm_weights(spark: SparkSession, n_fields: int = len(EVENT_TYPES), k: int = K) -> DataFrame:
-    """Deterministic weight table (idx, w, v0..v{k-1}) generated by a rule."""
-    r = spark.range(n_fields * SLOTS).select(F.col("id").alias("idx"))
+def fm_weights(spark: SparkSession, n_fields: int = len(EVENT_TYPES), k: int = K, n_index: int | None = None) -> DataFrame:
+    """Deterministic weight table (idx, w, v0..v{k-1}) generated by a rule, for ``n_index`` indices."""
+    r = spark.range(n_index or n_fields * SLOTS).select(F.col("id").alias("idx"))
     cols = [(F.lit(0.01) * F.sin(F.col("idx").cast("double"))).alias("w")]
     cols += [(F.lit(0.05) * F.cos(F.col("idx").cast("double") * F.lit(float(j + 1)))).alias(f"v{j}") for j in range(k)]
     return r.select("idx", *cols)
 
 
+def _type_counts(events: DataFrame) -> DataFrame:
+    return events.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def value_index(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tables fitted on the events: (event_type, field, idx0) of every type, where idx0 is the index of
+    count 0, and (event_type, n, idx) of every count found. The base types and counts below 100 have
+    field*100 + count; other types get the fields, and all other pairs the indices, that follow, in order."""
+    base = F.create_map(*[x for i, t in enumerate(EVENT_TYPES) for x in (F.lit(t), F.lit(i))])
+    pairs = _type_counts(events).filter("event_type IS NOT NULL").select("event_type", "n").distinct()
+    pairs = pairs.withColumn("code", F.try_element_at(base, F.col("event_type")))
+    others = pairs.filter("code IS NULL").select("event_type").distinct()
+    fields = ordered_scan(others, [("event_type", True)]).select("event_type", (F.col("rank") + (len(EVENT_TYPES) - 1)).cast("int").alias("field"))
+    beyond = pairs.filter((F.col("n") >= SLOTS) | F.col("code").isNull()).select("event_type", "n")
+    beyond = beyond.union(others.select("event_type", F.lit(0).cast("long")))
+    placed = ordered_scan(beyond, [("event_type", True), ("n", True)]).select("event_type", "n", (F.col("rank") + (BASE - 1)).cast("int").alias("idx"))
+    inside = pairs.filter((F.col("n") < SLOTS) & F.col("code").isNotNull())
+    index = placed.union(inside.select("event_type", "n", (F.col("code") * SLOTS + F.col("n")).cast("int")))
+    known = events.sparkSession.createDataFrame([(t, i, i * SLOTS) for i, t in enumerate(EVENT_TYPES)], "event_type string, field int, idx0 int")
+    zero = placed.filter("n = 0").select("event_type", F.col("idx").alias("idx0"))
+    return known.unionByName(fields.join(zero, "event_type")), index
+
+
 def user_sparse_features(events: DataFrame) -> DataFrame:
-    """Per user the sparse string 'field:index ...' (index = field*100 + min(count, 99))
-    laid over the default vector (count 0) -> (user_id, xi ARRAY<INT>, xv ARRAY<FLOAT>)."""
-    code = F.create_map(*[x for i, t in enumerate(EVENT_TYPES) for x in (F.lit(t), F.lit(i))])
-    c = events.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
-    c = c.withColumn("field", code[F.col("event_type")]).filter(F.col("field").isNotNull())
-    pair = F.concat(F.col("field").cast("string"), F.lit(":"),
-                    (F.col("field") * SLOTS + F.least(F.col("n"), F.lit(SLOTS - 1))).cast("string"))
+    """Per user the sparse string 'field:index ...' of their counts by type (``value_index`` of these
+    events) laid over the default vector (count 0) -> (user_id, xi ARRAY<INT>, xv ARRAY<FLOAT>).
+    A null type is no type; a user who has no other stays, with the default vector."""
+    fields, index = value_index(events)
+    c = _type_counts(events).join(index, ["event_type", "n"], "left").join(fields.select("event_type", "field"), "event_type", "left")
+    pair = F.when(F.col("idx").isNotNull(), F.concat(F.col("field").cast("string"), F.lit(":"), F.col("idx").cast("string")))
     # at most one entry per event type: a bounded list per user
     s = c.groupBy("user_id").agg(F.concat_ws(" ", F.collect_list(pair)).alias("feat"))
-    default = F.array(*[F.lit(i * SLOTS) for i in range(len(EVENT_TYPES))])
-    xi = sparse_overlay(F.col("feat"), default)
-    return s.select("user_id", xi.alias("xi"), F.array_repeat(F.lit(1.0).cast("float"), len(EVENT_TYPES)).alias("xv"))
+    default = fields.agg(F.sort_array(F.collect_list(F.struct("field", "idx0")))["idx0"].alias("zero"))
+    xi = F.when(F.col("feat") == "", F.col("zero")).otherwise(sparse_overlay(F.col("feat"), F.col("zero")))
+    s = s.crossJoin(default).select("user_id", xi.alias("xi"))  # the default vector is one row
+    return s.withColumn("xv", F.transform("xi", lambda x: F.lit(1.0).cast("float")))
+
+
+def index_size(feats: DataFrame) -> int:
+    """Indices that weights are needed for."""
+    return max(BASE, (feats.agg(F.max(F.array_max("xi"))).first()[0] or 0) + 1)
 
 
 def fm_score(feats: DataFrame, weights: DataFrame, key: str = "user_id", k: int = K) -> DataFrame:
@@ -79,15 +110,20 @@ FM_SQL = _fm_sql()
 # ------------------------------------------------------------------ M7 ------------
 def deepfm_params(n_index: int = len(EVENT_TYPES) * SLOTS, n_fields: int = len(EVENT_TYPES), k: int = K,
                   hidden: tuple = (8,), seed: int = 7) -> dict:
-    """Deterministic FM + MLP (+ batch-norm running stats) weights for scoring."""
-    rs = np.random.RandomState(seed)
-    p = {"w": rs.normal(0, 0.01, n_index), "emb": rs.normal(0, 0.05, (n_index, k)), "layers": []}
-    d = n_fields * k
+    """Deterministic FM + MLP (+ batch-norm running stats) weights for scoring. Indices and fields beyond
+    the base shape draw from a stream of their own, so that the weights of the base stay the same."""
+    rs, more = np.random.RandomState(seed), np.random.RandomState(seed + 1)
+    base_fields, base_index = min(n_fields, len(EVENT_TYPES)), min(n_index, BASE)
+    p = {"w": rs.normal(0, 0.01, base_index), "emb": rs.normal(0, 0.05, (base_index, k)), "layers": []}
+    p["w"] = np.r_[p["w"], more.normal(0, 0.01, n_index - base_index)]
+    p["emb"] = np.r_[p["emb"], more.normal(0, 0.05, (n_index - base_index, k))]
+    d, extra = base_fields * k, (n_fields - base_fields) * k
     for h in hidden:
-        p["layers"].append({"W": rs.normal(0, 0.3, (d, h)), "b": np.zeros(h), "mean": rs.normal(0, 0.01, h),
+        w = np.r_[rs.normal(0, 0.3, (d, h)), more.normal(0, 0.3, (extra, h))]
+        p["layers"].append({"W": w, "b": np.zeros(h), "mean": rs.normal(0, 0.01, h),
                             "var": np.abs(rs.normal(1, 0.1, h)), "gamma": np.ones(h), "beta": np.zeros(h)})
-        d = h
-    p["out"] = {"W": rs.normal(0, 0.3, (d, 1)), "b": np.zeros(1)}
+        d, extra = h, 0
+    p["out"] = {"W": np.r_[rs.normal(0, 0.3, (d, 1)), more.normal(0, 0.3, (extra, 1))], "b": np.zeros(1)}
     return p
 
 
@@ -121,6 +157,8 @@ def batch_scorer(params: dict, key: str, max_records: int | None = None):
 
 def deepfm_score(feats: DataFrame, key: str = "user_id", params: dict | None = None) -> DataFrame:
     """M7: FM + MLP scoring of (key, xi, xv) rows via mapInPandas."""
-    params = params or deepfm_params()
+    if params is None:
+        n_fields = feats.agg(F.max(F.size("xi"))).first()[0] or 0
+        params = deepfm_params(index_size(feats), max(len(EVENT_TYPES), n_fields))
     key_type = feats.schema[key].dataType.simpleString()
     return feats.select(key, "xi", "xv").mapInPandas(batch_scorer(params, key), f"{key} {key_type}, score double")

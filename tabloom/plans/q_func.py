@@ -207,7 +207,7 @@ def mask_tokens(spark, sf):
 def fm_score_users(spark, sf):
     e = table(spark, sf, "events")
     feats = score.user_sparse_features(e)
-    return round_doubles(score.fm_score(feats, score.fm_weights(spark)))
+    return round_doubles(score.fm_score(feats, score.fm_weights(spark, n_index=score.index_size(feats))))
 
 
 @register("row_udf_parity", ["D1"], sql=with_sql(SCORED_SQL) + """

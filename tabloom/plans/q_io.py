@@ -128,7 +128,7 @@ def daily_partition_scoring(spark, sf):
     io.create_partitioned_table(spark, name, "user_id BIGINT, score DOUBLE, dayno STRING", "dayno", fmt="orc")
     day = e.filter(F.col("dayno") == last)                       # partition of one day
     feats = score.user_sparse_features(day)
-    scored_day = score.fm_score(feats, score.fm_weights(spark)).withColumn("dayno", F.lit(last))
+    scored_day = score.fm_score(feats, score.fm_weights(spark, n_index=score.index_size(feats))).withColumn("dayno", F.lit(last))
     io.overwrite_partition(scored_day, name)
     io.overwrite_partition(scored_day, name)                     # re-run replaces, no duplicates
     t = spark.table(name)

@@ -111,6 +111,23 @@ def test_deepfm_matches_numpy(spark, sf):
     assert np.allclose(got.score.to_numpy(), exp)
 
 
+def test_scorers_read_every_type_and_count(spark):
+    from tabloom.operators import score
+    rows = [(1, "view")] * 150 + [(2, "view")] * 99 + [(3, "refund")] * 3 + [(4, None), (5, "view"), (5, "refund")]
+    feats = score.user_sparse_features(spark.createDataFrame(rows, "user_id long, event_type string"))
+    xi = {r["user_id"]: list(r["xi"]) for r in feats.collect()}
+    # refund is field 5; beyond the base come (refund, 0), (refund, 1), (refund, 3) and (view, 150).
+    assert xi == {1: [0, 100, 200, 300, 503, 500], 2: [0, 100, 200, 300, 499, 500], 3: [0, 100, 200, 300, 400, 502],
+                  4: [0, 100, 200, 300, 400, 500], 5: [0, 100, 200, 300, 401, 501]}
+    got = {r["user_id"]: r["score"] for r in score.fm_score(feats, score.fm_weights(spark, n_index=score.index_size(feats))).collect()}
+    for user, idx in xi.items():
+        v = 0.05 * np.cos(np.outer(idx, np.arange(1, score.K + 1)))
+        z = 0.01 * np.sin(idx).sum() + 0.5 * (v.sum(0) ** 2 - (v ** 2).sum(0)).sum()
+        assert math.isclose(got[user], 1 / (1 + math.exp(-z)), rel_tol=1e-9)
+    deep = {r["user_id"]: r["score"] for r in score.deepfm_score(feats).collect()}
+    assert len(set(deep.values())) == len(deep) == 5
+
+
 def test_clean_search_words(spark):
     df = spark.createDataFrame([("see http://a.com/x <seg> 手机 壳~~ ok",)], "q string")
     out = df.select(scalar.clean_search_words(F.col("q"))).first()[0]
