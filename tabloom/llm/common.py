@@ -35,6 +35,15 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Remove the folder of a table from ``materialise`` that nothing reads any more."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/llm-" in folder:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def doc_columns(docs: DataFrame, carry: bool = False) -> DataFrame:
     """Only the two columns the operators read, so that extra columns cannot clash.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import oracles
+from .centroids import cluster
 from .chat import chat_digest
 from .common import read_table
 from .decontaminate import decontaminate
@@ -14,7 +15,9 @@ from .neardup import near_duplicates
 from .pii import pii_digest
 from .quality import quality_scores
 from .repeats import remove_repeats
+from .runs import periodic_run_table, planted
 from .secrets import secret_scan
+from .simhash import simhash_groups
 from .topk import top_k
 
 
@@ -60,6 +63,18 @@ def op10_quality(spark, sf_dir):
     return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_centroids(spark, sf_dir):
+    return cluster(read_table(spark, sf_dir, "embeddings"), k=40, rounds=5, width=64)
+
+
+def op12_periodic_runs(spark, sf_dir):
+    return periodic_run_table(read_table(spark, sf_dir, "documents"), planted)
+
+
+def op13_simhash(spark, sf_dir):
+    return simhash_groups(read_table(spark, sf_dir, "documents"), words=4, errors=4)
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_topk, op2_mix_sources, op3_pii, op4_line_dedup, op5_chat_format, op6_decontaminate,
-                                   op7_secret_scan, op8_near_duplicates, op9_remove_repeats, op10_quality)}
+                                   op7_secret_scan, op8_near_duplicates, op9_remove_repeats, op10_quality, op11_centroids, op12_periodic_runs, op13_simhash)}
 SQL = oracles.SQL

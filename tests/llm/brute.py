@@ -4,6 +4,9 @@ import hashlib
 import math
 import re
 import zlib
+from fractions import Fraction
+
+import xxhash
 
 sha = lambda b: hashlib.sha256(b if isinstance(b, bytes) else b.encode()).hexdigest()
 ascii_lower = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
@@ -136,3 +139,83 @@ def conversations(rows):
 
 def held_out(doc_id):
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def lloyd(vectors, k, rounds, width):
+    ok = [(i, [math.floor(256 * float(x)) for x in v]) for i, v in vectors if v is not None and len(v) == width and all(x is not None and math.isfinite(x) for x in v)]
+    named = sorted((sha(f"2:{i}"), v) for i, v in ok if i is not None)
+    centres = [v for _, v in named[:k]]
+    near = lambda v: min((sum((x - y) ** 2 for x, y in zip(v, c)), j) for j, c in enumerate(centres))
+    for _ in range(rounds if centres else 0):
+        at = [near(v)[1] for _, v in ok]
+        for j in range(len(centres)):
+            mine = [v for (_, v), a in zip(ok, at) if a == j]
+            if mine:
+                centres[j] = [sum(x) // len(mine) for x in zip(*mine)]
+    found = [(i, *near(v)) for i, v in ok] if centres else []
+    inertia = {j: sum(d for _, d, a in found if a == j) for j in range(len(centres))}
+    return [(i, j, d, inertia[j], sum(inertia.values()), sha(",".join(map(str, centres[j])))) for i, d, j in found]
+
+
+def words_of(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+
+def runs(w):
+    """(start, length, period) of every stretch with smallest period q and at least max(6, 4q) words."""
+    out, n = [], len(w)
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            length = j - i + q
+            stretch = w[i:i + length]
+            if length >= max(6, 4 * q) and not any(all(stretch[x] == stretch[x + p] for x in range(length - p)) for p in range(1, q)):
+                out.append((i, length, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def periodic(docs, plant=True):
+    out = []
+    for d, t in docs:
+        w = words_of(t)
+        h = zlib.crc32(str(d).encode()) if d is not None else 1
+        if plant and h % 10 == 0 and w:
+            g, n = h // 10, len(w)
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            w = w[:a] + [w[a + (i - a) % p] for i in range(a, n)]
+        found = runs(w)
+        gone = {i for s, length, q in found for i in range(s + q, s + length)}
+        best = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if found else None
+        out.append((d, len(found), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None, sha("".join(f"{s},{x},{q}\n" for s, x, q in found)),
+                    sha(" ".join(x for i, x in enumerate(w) if i not in gone))))
+    return out
+
+
+def simhash(docs, size=4, errors=4):
+    prints = []
+    for _, t in docs:
+        w = words_of(ascii_lower(t or ""))
+        parts = [" ".join(w[i:i + size]) for i in range(len(w) - size + 1)] or ([" ".join(w)] if w else [])
+        h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in parts]
+        prints.append(sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)))
+    up = list(range(len(docs)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(docs)):
+        for j in range(i):
+            if docs[i][0] is not None and docs[j][0] is not None and (prints[i] ^ prints[j]).bit_count() <= errors:
+                up[root(i)] = root(j)
+    least = {}
+    for i, (d, _) in enumerate(docs):
+        if d is not None:
+            least[root(i)] = min(least.get(root(i), d), d)
+    return [(d, f"{prints[i]:016x}", least.get(root(i)) if d is not None else None) for i, (d, _) in enumerate(docs)]

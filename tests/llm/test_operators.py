@@ -342,4 +342,4 @@ def test_pipeline(spark, sf):
 
 
 def test_queries_cover_all_operators():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
