@@ -22,23 +22,23 @@ FROM j GROUP BY doc_id
 
 
 def _lloyd(k: int, rounds: int, width: int) -> str:
-    """Components in long form: x (row, at, v), and a pair of tables a round: c (cluster, at, v), n (row, cluster, distance)."""
+    """Components in long form: x (row, i, v), and a pair of tables a round: c (cluster, i, v), n (row, cluster, distance)."""
     near = """n{i} AS MATERIALIZED (
   SELECT row, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance FROM (
-    SELECT x.row, c.cluster, CAST(sum((x.v - c.v) * (x.v - c.v)) AS BIGINT) AS d FROM x JOIN c{i} c USING (at) GROUP BY ALL) GROUP BY row)"""
+    SELECT x.row, c.cluster, CAST(sum((x.v - c.v) * (x.v - c.v)) AS BIGINT) AS d FROM x JOIN c{i} c USING (i) GROUP BY ALL) GROUP BY row)"""
     move = """c{j} AS MATERIALIZED (
-  SELECT c.cluster, c.at, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN (
-    SELECT n.cluster, x.at, CAST(floor(CAST(sum(x.v) AS DOUBLE) / count(*)) AS BIGINT) AS v FROM x JOIN n{i} n USING (row) GROUP BY ALL) m USING (cluster, at))"""
+  SELECT c.cluster, c.i, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN (
+    SELECT n.cluster, x.i, (sum(x.v) - (sum(x.v) % count(*) + count(*)) % count(*)) // count(*) AS v FROM x JOIN n{i} n USING (row) GROUP BY ALL) m USING (cluster, i))"""
     parts = [f"""q AS MATERIALIZED (
   SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0)""",
-             f"x AS MATERIALIZED (SELECT row, unnest(v) AS v, unnest(range({width})) AS at FROM q)",
+             f"x AS MATERIALIZED (SELECT row, unnest(v) AS v, unnest(range({width})) AS i FROM q)",
              f"""f AS (SELECT *, row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS cluster FROM q WHERE vec_id IS NOT NULL QUALIFY cluster < {k})""",
-             f"c0 AS MATERIALIZED (SELECT cluster, unnest(v) AS v, unnest(range({width})) AS at FROM f)"]
+             f"c0 AS MATERIALIZED (SELECT cluster, unnest(v) AS v, unnest(range({width})) AS i FROM f)"]
     for i in range(rounds):
         parts += [near.format(i=i), move.format(i=i, j=i + 1)]
     parts.append(near.format(i=rounds))
-    parts.append(f"h AS (SELECT cluster, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY at)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)")
+    parts.append(f"h AS (SELECT cluster, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)")
     return "WITH " + ",\n".join(parts) + f"""
 SELECT q.vec_id, CAST(n.cluster AS INTEGER) AS cluster, n.distance, CAST(sum(n.distance) OVER (PARTITION BY n.cluster) AS BIGINT) AS cluster_inertia,
        CAST(sum(n.distance) OVER () AS BIGINT) AS inertia, h.centroid_sha256
