@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.core import hash_uniform
-from ..operators.rank import ordered_scan, top_k_per_group, with_next
+from ..operators.rank import ordered_scan, top_k_per_group
 
 
 def neighbour_pool(edges: DataFrame, nodes: DataFrame, feat: str) -> DataFrame:
@@ -58,8 +58,7 @@ def metapath_counts(edges: DataFrame) -> DataFrame:
 
 def transitions(events: DataFrame, key: str, ts: str, tiebreak: str, item: str) -> DataFrame:
     """Consecutive (item -> next item) pairs per key counted over all keys."""
-    s = ordered_scan(events.select(key, ts, tiebreak, item), [(ts, True), (tiebreak, True)], by=[key], rank_col="_r")
-    n = with_next(s, "_r", [item], by=[key])
+    n = ordered_scan(events.select(key, ts, tiebreak, item), [(ts, True), (tiebreak, True)], by=[key], rank_col="_r", leads=[item])
     return (n.filter(F.col(f"{item}_next").isNotNull())
             .groupBy(F.col(item).alias("src"), F.col(f"{item}_next").alias("dst")).agg(F.count(F.lit(1)).alias("n")))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import core
-from ..operators.rank import ordered_scan, top_k_per_group, with_next
+from ..operators.rank import ordered_scan, plateau_stops, top_k_per_group
 from ..operators.stats import distinct_counts, null_share, sample_skewness
 from .fixtures import LABELLED_SQL, labelled, table, with_sql
 from .registry import register, round_doubles
@@ -448,15 +448,20 @@ def plateau_detector(spark, sf):
     """Early-stopping with patience 3 and delta 0 per user over ``value`` in time
     order: the first row whose counter (rows since the last score >= best) hits 3."""
     e = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    s = ordered_scan(e, [("ts", True), ("event_id", True)], by=["user_id"], maxes=["value"], rank_col="rk")
-    n = e.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    imp = s.filter(F.col("value") == F.col("cmax_value")).select("user_id", "rk")
-    imp = ordered_scan(imp, [("rk", True)], by=["user_id"], rank_col="ord")
-    nxt = with_next(imp, "ord", ["rk"], by=["user_id"])
-    j = nxt.join(n, "user_id")
-    patience = 3
-    stop = j.filter((F.coalesce("rk_next", F.col("n") + 1) > F.col("rk") + patience) & (F.col("rk") + patience <= F.col("n")))
-    return stop.groupBy("user_id").agg(F.min(F.col("rk") + patience).cast("long").alias("stop_rank"))
+    return plateau_stops(e, [("ts", True), ("event_id", True)], "value", patience=3, by=["user_id"])
+
+
+@register("plateau_detector_delta", ["W7", "T36"], sql="""
+WITH RECURSIVE r AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rk FROM events),
+s AS (SELECT user_id, rk, value AS best, 0 AS counter FROM r WHERE rk = 1
+      UNION ALL
+      SELECT r.user_id, r.rk, CASE WHEN r.value >= s.best + 5 THEN r.value ELSE s.best END, CASE WHEN r.value >= s.best + 5 THEN 0 ELSE s.counter + 1 END
+      FROM s JOIN r ON r.user_id = s.user_id AND r.rk = s.rk + 1 WHERE s.counter < 4)
+SELECT user_id, CAST(rk AS BIGINT) AS stop_rank FROM s WHERE counter = 4""")
+def plateau_detector_delta(spark, sf):
+    """Early stopping per user with patience 4: a value counts as better from 5 above the best on."""
+    e = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    return plateau_stops(e, [("ts", True), ("event_id", True)], "value", patience=4, delta=5.0, by=["user_id"])
 
 
 @register("session_prefixes", ["W8", "G6"], sql="""
@@ -476,8 +481,7 @@ WITH b AS (SELECT event_id, value / 100.0 AS r, event_type = 'purchase' AS done,
 SELECT event_id, round(CASE WHEN done OR v_next IS NULL THEN r ELSE r + 0.99 * v_next END, 6) AS q FROM b""")
 def one_step_return(spark, sf):
     e = table(spark, sf, "events").select("event_id", "ts", "value", "event_type")
-    s = ordered_scan(e, [("ts", True), ("event_id", True)], rank_col="rk")
-    j = with_next(s, "rk", ["value"])
+    j = ordered_scan(e, [("ts", True), ("event_id", True)], rank_col="rk", leads=["value"])
     r = F.col("value") / 100.0
     q = F.when((F.col("event_type") == "purchase") | F.col("value_next").isNull(), r).otherwise(r + 0.99 * F.col("value_next") / 100.0)
     return round_doubles(j.select("event_id", q.alias("q")))
