@@ -16,6 +16,7 @@ from ..session import cut_lineage
 from .rank import ordered_scan
 from .stats import equal_width_bucket, fit_minmax, label_totals, long_counts
 
+# The cut-offs of the depth table.
 DEPTH_RATIOS = [0.001, 0.002, 0.003, 0.004, 0.005, 0.01, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3,
                 0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95, 1]
 
@@ -54,28 +55,29 @@ def iv_table(df: DataFrame, x: str, label: str, bins_expr: Column | None = None)
     """
     P, N = label_totals(df, label)
     T = P + N
+    rate = F.lit(P / T if T else None).cast("double")
     b = bins_expr if bins_expr is not None else F.col(x).cast("string")
     g = (df.select(b.alias("bins"), F.col(label).cast("long").alias("_y")).filter(F.col("bins").isNotNull())
          .groupBy("bins").agg((F.count(F.lit(1)) - F.sum("_y")).alias("good"), F.sum("_y").alias("bad"),
                               F.count(F.lit(1)).alias("total")))
     g = cut_lineage(g)  # one row a bin, used several times
     sums = g.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
-    t = (g.withColumn("good_pct", F.try_divide(F.col("good"), F.lit(sums["good"])))
-         .withColumn("bad_pct", F.try_divide(F.col("bad"), F.lit(sums["bad"])))
-         .withColumn("goodRecall", F.col("good") / F.lit(float(N)))
-         .withColumn("badRecall", F.col("bad") / F.lit(float(P)))
-         .withColumn("groupRecall", F.col("total") / F.lit(float(T)))
+    t = (g.withColumn("good_pct", F.try_divide(F.col("good"), F.lit(sums["good"]).cast("long")))
+         .withColumn("bad_pct", F.try_divide(F.col("bad"), F.lit(sums["bad"]).cast("long")))
+         .withColumn("goodRecall", F.try_divide(F.col("good"), F.lit(float(N))))
+         .withColumn("badRecall", F.try_divide(F.col("bad"), F.lit(float(P))))
+         .withColumn("groupRecall", F.try_divide(F.col("total"), F.lit(float(T))))
          .withColumn("innerBadRate", F.col("bad") / F.col("total"))
          .withColumn("woe", _ln_ratio(F.col("good_pct"), F.col("bad_pct")))
          .withColumn("iv", (F.col("good_pct") - F.col("bad_pct")) * F.col("woe"))
-         .withColumn("lift", (F.col("bad") / F.col("total")) / F.lit(P / T)))
+         .withColumn("lift", F.try_divide(F.col("bad") / F.col("total"), rate)))
     tot = t.agg(F.lit("Total").alias("bins"), F.sum("good").alias("good"), F.sum("bad").alias("bad"),
                 F.sum("total").alias("total"), F.sum("good_pct").alias("good_pct"), F.sum("bad_pct").alias("bad_pct"),
                 F.sum("goodRecall").alias("goodRecall"), F.sum("badRecall").alias("badRecall"),
                 F.sum("groupRecall").alias("groupRecall"),
-                (F.sum("bad") / (F.sum("good") + F.sum("bad"))).alias("innerBadRate"),
+                F.try_divide(F.sum("bad"), F.sum("good") + F.sum("bad")).alias("innerBadRate"),
                 F.lit(None).cast("double").alias("woe"), F.sum("iv").alias("iv"),
-                ((F.sum("bad") / (F.sum("good") + F.sum("bad"))) / F.lit(P / T)).alias("lift"))
+                F.try_divide(F.try_divide(F.sum("bad"), F.sum("good") + F.sum("bad")), rate).alias("lift"))
     return t.unionByName(tot)
 
 
@@ -90,9 +92,16 @@ def ks_table(df: DataFrame, score: str, label: str, tiebreak: str, nbins: int =
     g = (ranked.withColumn("_g", grp).groupBy("_g")
          .agg(F.count(F.lit(1)).alias("Total"), F.min(score).alias("MinScore"), F.avg(score).alias("MeanScore"),
               F.max(score).alias("MaxScore"), F.sum(F.col(label).cast("long")).alias("BadCnt")))
-    spark = df.sparkSession
-    full = (spark.range(nbins).select(F.col("id").cast("int").alias("_g")).join(g, "_g", "left")
-            .fillna(0, ["Total", "BadCnt"]))
+    return ks_layout(g, nbins, n)
+
+
+def ks_layout(groups: DataFrame, nbins: int | None, n: int | None) -> DataFrame:
+    """The KS table from its groups (_g from 0, Total, MinScore, MeanScore, MaxScore, BadCnt): rates, cumulative rates,
+    bumps, lift and a Total row. Groups that are missing of ``nbins`` are empty (None: there are as many as rows);
+    ``n``: all rows (None: those of the groups)."""
+    groups = cut_lineage(groups)  # a row a group, used several times
+    n = n if n is not None else groups.agg(F.sum("Total")).first()[0] or 0
+    full = groups if nbins is None else groups.sparkSession.range(nbins).select(F.col("id").cast("int").alias("_g")).join(groups, "_g", "left").fillna(0, ["Total", "BadCnt"])
     w = Window.orderBy("_g")  # nbins rows
     wall = Window.partitionBy()
     rate = F.try_divide("BadCnt", "Total")
@@ -104,22 +113,23 @@ def ks_table(df: DataFrame, score: str, label: str, tiebreak: str, nbins: int =
          .withColumn("GoodRate", F.try_divide(F.col("GoodCnt"), F.sum("GoodCnt").over(wall)))
          .withColumn("CumTotalBadRate", F.sum("BadRate").over(w.rowsBetween(Window.unboundedPreceding, 0)))
          .withColumn("CumTotalGoodRate", F.sum("GoodRate").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-         .withColumn("KS", F.col("CumTotalBadRate") - F.col("CumTotalGoodRate"))
+         .withColumn("K-S", F.col("CumTotalBadRate") - F.col("CumTotalGoodRate"))
          .withColumn("Lift", F.try_divide(F.col("InnerBadRate") * (F.sum("BadCnt").over(wall) + F.sum("GoodCnt").over(wall)),
                                             F.sum("BadCnt").over(wall)))
-         .withColumn("Population", F.col("Total") / F.lit(float(n)))
+         .withColumn("Population", F.try_divide(F.col("Total"), F.lit(float(n))))
          .withColumn("Rank", (F.col("_g") + 1).cast("string")))
+    # The columns of the table.
     cols = ["Rank", "Population", "Total", "bumps", "MinScore", "MeanScore", "MaxScore", "BadCnt", "GoodCnt",
-            "InnerBadRate", "BadRate", "CumTotalBadRate", "GoodRate", "CumTotalGoodRate", "KS", "Lift"]
-    t = t.select(*cols)
+            "InnerBadRate", "BadRate", "CumTotalBadRate", "GoodRate", "CumTotalGoodRate", "K-S", "Lift"]
+    t = t.select(*[F.col(f"`{c}`") for c in cols])
     tot = t.agg(F.lit("Total").alias("Rank"), F.lit(1.0).alias("Population"), F.sum("Total").alias("Total"),
                 F.lit(None).cast("long").alias("bumps"), F.min("MinScore").alias("MinScore"),
-                (F.sum(F.col("MeanScore") * F.col("Total")) / F.sum("Total")).alias("MeanScore"),
+                F.try_divide(F.sum(F.col("MeanScore") * F.col("Total")), F.sum("Total")).alias("MeanScore"),
                 F.max("MaxScore").alias("MaxScore"), F.sum("BadCnt").alias("BadCnt"), F.sum("GoodCnt").alias("GoodCnt"),
-                (F.sum("BadCnt") / F.sum("Total")).alias("InnerBadRate"), F.lit(None).cast("double").alias("BadRate"),
+                F.try_divide(F.sum("BadCnt"), F.sum("Total")).alias("InnerBadRate"), F.lit(None).cast("double").alias("BadRate"),
                 F.lit(None).cast("double").alias("CumTotalBadRate"),
-                (F.sum("GoodCnt") / F.sum("Total")).alias("GoodRate"),
-                F.lit(None).cast("double").alias("CumTotalGoodRate"), F.max("KS").alias("KS"),
+                F.try_divide(F.sum("GoodCnt"), F.sum("Total")).alias("GoodRate"),
+                F.lit(None).cast("double").alias("CumTotalGoodRate"), F.max("`K-S`").alias("K-S"),
                 F.lit(None).cast("double").alias("Lift"))
     return t.unionByName(tot)
 

@@ -107,7 +107,7 @@ SELECT CAST(g + 1 AS VARCHAR) AS Rank, round(Total / n, 6) AS Population, Total,
        round(MinScore, 6) AS MinScore, round(MeanScore, 6) AS MeanScore, round(MaxScore, 6) AS MaxScore,
        BadCnt, GoodCnt, round(InnerBadRate, 6) AS InnerBadRate, round(BadRate, 6) AS BadRate,
        round(CumTotalBadRate, 6) AS CumTotalBadRate, round(GoodRate, 6) AS GoodRate,
-       round(CumTotalGoodRate, 6) AS CumTotalGoodRate, round(CumTotalBadRate - CumTotalGoodRate, 6) AS KS,
+       round(CumTotalGoodRate, 6) AS CumTotalGoodRate, round(CumTotalBadRate - CumTotalGoodRate, 6) AS "K-S",
        round(Lift, 6) AS Lift FROM m
 UNION ALL
 SELECT 'Total', 1.0, CAST(sum(Total) AS BIGINT), NULL, round(min(MinScore), 6), round((SELECT avg(p) FROM scored), 6),

@@ -1,9 +1,12 @@
 """Literal goldens from the guide (FIXTURES.md A.1) and property checks."""
 
 import math
+import re
 
+import duckdb
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tabloom.operators import core, encode, evaluate
@@ -132,3 +135,16 @@ def test_clean_search_words(spark):
     df = spark.createDataFrame([("see http://a.com/x <seg> 手机 壳~~ ok",)], "q string")
     out = df.select(scalar.clean_search_words(F.col("q"))).first()[0]
     assert "http" not in out and ",," not in out
+
+
+@pytest.mark.parametrize("text", [
+    "see http://a.com/x <seg> 手机 壳~~ ok", "买　手机　case 3\xa0pro max", "www.shop.cn/p?id=1 红 色", "a.b.com x.com.cn y", "A_b^c[d]`e\\f g", "。；，：“”（）、？《》!?;",
+    "x + y - z, 龥龦 中 文 1\t2\n3", "", "https", ".com .cn", "   ", "tail ~~~<seg>~"])
+def test_clean_search_words_is_the_pattern_chain(spark, text):
+    want = text
+    for pattern, put in scalar.CLEAN_STEPS:
+        want = re.sub(pattern, put, want)
+    df = spark.createDataFrame([(text,)], "q string")
+    assert df.select(scalar.clean_search_words(F.col("q"))).first()[0] == want
+    quoted = "'" + text.replace("'", "''") + "'"
+    assert duckdb.sql(f"SELECT {scalar.clean_search_words_sql(quoted)}").fetchone()[0] == want
