@@ -88,23 +88,32 @@ def fm_score(feats: DataFrame, weights: DataFrame, key: str = "user_id", k: int
     return s.select(key, (1.0 / (1.0 + F.exp(-(F.col("lin") + inter)))).alias("score"))
 
 
-def _fm_sql(k: int = K) -> str:
-    types = ", ".join(f"('{t}', {i})" for i, t in enumerate(EVENT_TYPES))
-    vs = ", ".join(f"0.05 * cos(CAST(i AS DOUBLE) * {float(j + 1)}) AS v{j}" for j in range(k))
-    sums = ", ".join(f"sum(v{j}) AS s{j}, sum(v{j} * v{j}) AS q{j}" for j in range(k))
-    inter = " + ".join(f"(s{j} * s{j} - q{j})" for j in range(k))
-    return f"""
+# SQL twin of ``value_index``: fields (event_type, field, idx0) and places (event_type, n, idx), from cnt (user_id, event_type, n).
+VALUE_INDEX_SQL = f"""base AS (SELECT * FROM (VALUES {", ".join(f"('{t}', {i})" for i, t in enumerate(EVENT_TYPES))}) t(event_type, code)),
+pairs AS (SELECT DISTINCT c.event_type, c.n, b.code FROM cnt c LEFT JOIN base b USING (event_type) WHERE c.event_type IS NOT NULL),
+others AS (SELECT DISTINCT event_type FROM pairs WHERE code IS NULL),
+beyond AS (SELECT event_type, n, row_number() OVER (ORDER BY event_type, n) + {BASE - 1} AS idx FROM (
+  SELECT event_type, n FROM pairs WHERE n >= {SLOTS} OR code IS NULL UNION ALL SELECT event_type, 0 FROM others)),
+places AS (SELECT event_type, n, idx FROM beyond UNION ALL SELECT event_type, n, code * {SLOTS} + n FROM pairs WHERE n < {SLOTS} AND code IS NOT NULL),
+fields AS (SELECT event_type, code AS field, code * {SLOTS} AS idx0 FROM base
+  UNION ALL SELECT o.event_type, row_number() OVER (ORDER BY o.event_type) + {len(EVENT_TYPES) - 1}, b.idx FROM others o JOIN beyond b ON b.event_type = o.event_type AND b.n = 0)"""
+SUMS_SQL = ", ".join(f"sum(v{j}) AS s{j}, sum(v{j} * v{j}) AS q{j}" for j in range(K))
+PAIRS_SQL = " + ".join(f"(s{j} * s{j} - q{j})" for j in range(K))
+
+
+def weights_sql(indices: str) -> str:
+    """SQL twin of ``fm_weights`` for the indices (column i) of a query."""
+    vs = ", ".join(f"0.05 * cos(CAST(i AS DOUBLE) * {float(j + 1)}) AS v{j}" for j in range(K))
+    return f"SELECT i AS idx, 0.01 * sin(CAST(i AS DOUBLE)) AS w, {vs} FROM ({indices})"
+
+
+FM_SQL = f"""
 WITH cnt AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2),
-types AS (SELECT * FROM (VALUES {types}) t(event_type, code)),
-users AS (SELECT DISTINCT user_id FROM events),
-x AS (SELECT u.user_id, t.code * {SLOTS} + least(coalesce(c.n, 0), {SLOTS - 1}) AS idx
-      FROM users u CROSS JOIN types t LEFT JOIN cnt c ON c.user_id = u.user_id AND c.event_type = t.event_type),
-w AS (SELECT i AS idx, 0.01 * sin(CAST(i AS DOUBLE)) AS w, {vs} FROM range({len(EVENT_TYPES) * SLOTS}) r(i)),
-s AS (SELECT user_id, sum(w) AS lin, {sums} FROM x JOIN w USING (idx) GROUP BY 1)
-SELECT user_id, round(1.0 / (1.0 + exp(-(lin + 0.5 * ({inter})))), 6) AS score FROM s"""
-
-
-FM_SQL = _fm_sql()
+{VALUE_INDEX_SQL},
+x AS (SELECT u.user_id, coalesce(i.idx, f.idx0) AS idx FROM (SELECT DISTINCT user_id FROM events) u CROSS JOIN fields f
+      LEFT JOIN cnt c ON c.user_id IS NOT DISTINCT FROM u.user_id AND c.event_type = f.event_type LEFT JOIN places i ON i.event_type = c.event_type AND i.n = c.n),
+s AS (SELECT user_id, sum(w) AS lin, {SUMS_SQL} FROM x JOIN ({weights_sql("SELECT DISTINCT idx AS i FROM x")}) w USING (idx) GROUP BY 1)
+SELECT user_id, round(1.0 / (1.0 + exp(-(lin + 0.5 * ({PAIRS_SQL})))), 6) AS score FROM s"""
 
 
 # ------------------------------------------------------------------ M7 ------------

@@ -147,4 +147,4 @@ def test_clean_search_words_is_the_pattern_chain(spark, text):
     df = spark.createDataFrame([(text,)], "q string")
     assert df.select(scalar.clean_search_words(F.col("q"))).first()[0] == want
     quoted = "'" + text.replace("'", "''") + "'"
-    assert duckdb.sql(f"SELECT {scalar.clean_search_words_sql(quoted)}").fetchone()[0] == want
+    assert duckdb.sql(f"SELECT {scalar.clean_search_words_sql(quoted)}").fetchall()[0][0] == want
