@@ -188,18 +188,53 @@ def term_cooccurrence(spark, sf):
     return text.cooccurrence(table(spark, sf, "documents"), terms, window=2)
 
 
-@register("mask_tokens", ["TX9"], sql=r"""
-WITH tok AS (SELECT doc_id, pos FROM (
+PLACED_SQL = r"""placed AS (SELECT doc_id, pos, term FROM (
   SELECT doc_id, generate_subscripts(a, 1) - 1 AS pos, unnest(a) AS term
-  FROM (SELECT doc_id, regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') AS a FROM documents)) WHERE term <> ''),
-c AS (SELECT doc_id, count(*) AS n_tokens, count(*) FILTER (WHERE """ + hash_uniform_sql(["doc_id", "pos"], 15) + """ < 0.15) AS n_masked
-      FROM tok GROUP BY 1)
-SELECT * FROM c WHERE n_tokens BETWEEN 5 AND 5000""")
+  FROM (SELECT doc_id, regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') AS a FROM documents)) WHERE term <> '')"""
+
+
+@register("mask_tokens", ["TX9"], sql=with_sql(PLACED_SQL, "m AS (SELECT *, " + hash_uniform_sql(["doc_id", "pos"], 15) + " < 0.15 AS hidden FROM placed)") + """
+SELECT d.doc_id, count(m.pos) AS n_tokens, count(*) FILTER (hidden) AS n_masked,
+       md5(coalesce(string_agg(CASE WHEN hidden THEN '[MASK]' ELSE term END, ' ' ORDER BY pos), '')) AS masked_md5
+FROM documents d LEFT JOIN m USING (doc_id) GROUP BY 1""")
 def mask_tokens(spark, sf):
-    t = tokens(spark, sf)
-    c = t.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"),
-                                F.count_if(hash_uniform(["doc_id", "pos"], 15) < 0.15).alias("n_masked"))
-    return c.filter(F.col("n_tokens").between(5, 5000))
+    """The masked text of every document, of whatever length (as its digest)."""
+    from ..operators import text
+    placed = F.transform(F.split(F.lower("text"), TOKEN_SPLIT), lambda t, i: F.struct(i.alias("pos"), t.alias("term")))
+    m = text.masked(table(spark, sf, "documents"), F.filter(placed, lambda t: t["term"] != ""))
+    return m.select("doc_id", "n_tokens", "n_masked", F.md5("masked").alias("masked_md5"))
+
+
+@register("cooccurrence_ratios", ["TX4"], sql=with_sql(PLACED_SQL, """
+p AS (SELECT a.term AS term_a, b.term AS term_b FROM placed a JOIN placed b ON a.doc_id = b.doc_id AND b.pos BETWEEN a.pos + 1 AND a.pos + 2),
+top AS (SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) AS r FROM placed GROUP BY 1 QUALIFY r <= 2),
+s AS (SELECT r, term_b AS term, count(*) AS n, sum(count(*)) OVER (PARTITION BY r) AS total FROM p JOIN top ON term_a = top.term GROUP BY 1, 2)""") + """
+SELECT term, round(a.n / a.total, 8) AS p_first, round(b.n / b.total, 8) AS p_second, round((a.n / a.total) / (b.n / b.total), 8) AS ratio
+FROM (SELECT * FROM s WHERE r = 1) a JOIN (SELECT * FROM s WHERE r = 2) b USING (term)""")
+def cooccurrence_ratios(spark, sf):
+    """Of the two most frequent terms: which terms follow the one rather than the other."""
+    from ..operators import text
+    terms = F.filter(F.split(F.lower("text"), TOKEN_SPLIT), lambda t: t != "")
+    docs = table(spark, sf, "documents")
+    first, second = (r["term"] for r in docs.select(F.explode(terms).alias("term")).groupBy("term").count().orderBy(F.desc("count"), "term").limit(2).collect())
+    return round_doubles(text.cooccurrence_ratios(text.cooccurrence(docs, terms, window=2), first, second), 8)
+
+
+def _merges_sql(rounds: int) -> str:
+    parts = [TOKENS_SQL, "c0 AS MATERIALIZED (SELECT regexp_replace(term, '(.)', chr(1) || '\\1' || chr(2), 'g') AS s, count(*) AS n FROM tok GROUP BY 1)"]
+    for i in range(rounds):
+        parts.append(f"""y{i} AS (SELECT string_split(substr(s, 2, length(s) - 2), chr(2) || chr(1)) AS y, n FROM c{i}),
+m{i} AS MATERIALIZED (SELECT p[1] AS a, p[2] AS b, CAST(sum(n) AS BIGINT) AS n FROM (SELECT unnest(list_zip(y[:-2], y[2:])) AS p, n FROM y{i} WHERE len(y) > 1) GROUP BY 1, 2 ORDER BY n DESC, a, b LIMIT 1),
+c{i + 1} AS MATERIALIZED (SELECT replace(s, chr(1) || a || chr(2) || chr(1) || b || chr(2), chr(1) || a || b || chr(2)) AS s, c.n FROM c{i} c, m{i})""")
+    return with_sql(*parts) + " UNION ALL ".join(f"SELECT CAST({i + 1} AS INTEGER) AS round, a, b, n FROM m{i}" for i in range(rounds))
+
+
+@register("word_piece_merges", ["TX10"], sql=_merges_sql(6))
+def word_piece_merges(spark, sf):
+    from ..operators import text
+    words = tokens(spark, sf).groupBy(F.col("term").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    found = text.pair_merges(words, 6)
+    return spark.createDataFrame([(i, *m) for i, m in enumerate(found, 1)], "round int, a string, b string, n long")
 
 
 # ------------------------------------------------------------------ F14 / M6 ------
