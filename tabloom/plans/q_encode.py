@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import encode as enc
+from ..session import scratch_path
 from .fixtures import LABELLED_SQL, labelled, table, with_sql
 from .registry import register, round_doubles
 from .sqlgen import ew_bucket_sql
@@ -200,19 +201,106 @@ def label_smoothing(spark, sf):
 
 
 
-@register("mixed_processor_orders", ["N16", "N17", "N18", "N19", "N20", "N21", "B3"], sql=with_sql(LABELLED_SQL, """
-f AS (SELECT id, priority, CASE WHEN price > 4 THEN log2(price * price) WHEN price < -4 THEN -log2(price * price)
-                                ELSE price END AS lp FROM labelled),
-s AS (SELECT avg(lp) AS m, stddev_samp(lp) AS sd FROM f),
-v AS (SELECT value, row_number() OVER (ORDER BY value) - 1 AS code
-      FROM (SELECT DISTINCT coalesce(priority, '-999') AS value FROM f))""") + """
-SELECT v.code AS priority_idx, round(avg((coalesce(lp, m) - m) / (sd + 1e-8)), 6) AS mean_price, count(*) AS n
-FROM f JOIN v ON coalesce(f.priority, '-999') = v.value, s GROUP BY 1""")
+# Rows for the processors: texts of a few values, of very many, numbers that are nearly all null, constant, and skewed.
+PROCESS_SQL = LABELLED_SQL + """,
+mixed AS (SELECT id, y, priority, status, CAST(custkey AS VARCHAR) AS customer, price, CASE WHEN id % 50 = 0 THEN 1.0 END AS rare, 7.0::DOUBLE AS flat,
+                 CASE WHEN id % 9 = 0 THEN NULL ELSE pow(id % 20, 12) END AS tail FROM labelled)"""
+
+
+def mixed_rows(spark, sf):
+    d = labelled(spark, sf)
+    return d.select("id", "y", "priority", "status", F.col("custkey").cast("string").alias("customer"), "price", F.when(F.col("id") % 50 == 0, 1.0).alias("rare"), F.lit(7.0).alias("flat"),
+                    F.when(F.col("id") % 9 != 0, F.pow(F.col("id") % 20, F.lit(12))).alias("tail"))
+
+
+CONF = {"skew_double": True, "skew_threshold": 1.0, "skew_bins": 4}
+
+
+def _qcut_sql(q: int) -> str:
+    """edges_ (i, e): distinct linear quantiles of the column tail."""
+    return f"""edges_ AS (SELECT row_number() OVER (ORDER BY e) - 1 AS i, e FROM (SELECT DISTINCT unnest(quantile_cont(tail, {[i / q for i in range(q + 1)]})) AS e FROM mixed))"""
+
+
+SQUASH_SQL = "CASE WHEN price > {t} THEN {up} WHEN price < -{t} THEN {down} ELSE price END"
+_FIT = SQUASH_SQL.format(t=4, up="log2(price * price)", down="-log2(price * price)")
+_SERVE = SQUASH_SQL.format(t=2, up="pow(log2(price), 2)", down="-pow(log2(-price), 2)")
+
+
+def _ids_sql(squash: str) -> str:
+    """Rows with the ids of shared numbering: priority, status, customer, price, tail."""
+    return with_sql(PROCESS_SQL, _qcut_sql(4), f"""
+pv AS (SELECT value, row_number() OVER (ORDER BY value) - 1 AS idx FROM (SELECT DISTINCT coalesce(priority, '-999') AS value FROM mixed)),
+sv AS (SELECT value, row_number() OVER (ORDER BY value) - 1 + (SELECT count(*) FROM pv) AS idx FROM (SELECT DISTINCT coalesce(status, '-999') AS value FROM mixed)),
+cv AS (SELECT value, row_number() OVER (ORDER BY value) - 1 + (SELECT count(*) FROM pv) + (SELECT count(*) FROM sv) AS idx FROM (SELECT DISTINCT coalesce(customer, '-999') AS value FROM mixed)),
+n AS (SELECT (SELECT count(*) FROM pv) + (SELECT count(*) FROM sv) + (SELECT count(*) FROM cv) AS at, (SELECT count(*) FROM edges_) AS edges),
+m AS (SELECT avg({_FIT}) AS mean, stddev_samp({_FIT}) AS std FROM mixed),
+ids AS (SELECT id, pv.idx AS priority, sv.idx AS status, cv.idx AS customer, (coalesce({squash}, mean) - mean) / (std + 1e-8) AS price,
+          n.at + 1 + CASE WHEN tail IS NULL THEN edges + 1 ELSE (SELECT count(*) FROM edges_ WHERE e < tail) END AS tail, n.at AS price_id
+        FROM mixed JOIN pv ON coalesce(priority, '-999') = pv.value JOIN sv ON coalesce(status, '-999') = sv.value JOIN cv ON coalesce(customer, '-999') = cv.value, n, m)""")
+
+
+def _mixed_spec(spark, sf):
+    from ..operators import spec as fs
+    df = mixed_rows(spark, sf)
+    return fs, df, fs.fit(df, exclude=["id", "y"], conf=CONF, shared_ids=True)
+
+
+@register("mixed_processor_orders", ["N16", "N17", "B3"], sql=_ids_sql(_FIT) + """
+SELECT id, CAST(priority AS INTEGER) AS priority, CAST(status AS INTEGER) AS status, CAST(customer AS INTEGER) AS customer, round(price, 6) AS price, CAST(tail AS INTEGER) AS tail FROM ids""")
 def mixed_processor_orders(spark, sf):
+    """Every transformed column of every row; 'rare' (null) and 'flat' (one value) go."""
+    fs, df, sp = _mixed_spec(spark, sf)
+    return round_doubles(fs.transform(df, sp).drop("y"))
+
+
+@register("mixed_processor_serving", ["N18", "N19", "IO22"], sql=_ids_sql(_SERVE) + """
+SELECT id, CAST(list_value(priority, status, customer, tail, price_id) AS VARCHAR) AS xi, 1.0 + 1.0 + 1.0 + 1.0 AS xv_coded, round(CAST(CAST(price AS FLOAT) AS DOUBLE), 3) AS xv_price FROM ids""")
+def mixed_processor_serving(spark, sf):
+    """The serving form of the squash, from a spec that was saved and read back, as index and value arrays."""
+    fs, df, sp = _mixed_spec(spark, sf)
+    path = scratch_path(spark, "spec")
+    fs.save(sp, path, spark)
+    back = fs.load(spark, path)
+    x = fs.model_input(fs.transform(df, back, log_mode="serve"), back, "id")
+    coded = F.aggregate(F.slice("xv", 1, 4), F.lit(0.0), lambda a, v: a + v)
+    return x.select("id", F.concat(F.lit("["), F.concat_ws(", ", F.transform("xi", lambda i: i.cast("string"))), F.lit("]")).alias("xi"), coded.alias("xv_coded"), F.round(F.col("xv")[4].cast("double"), 3).alias("xv_price"))
+
+
+LETTER_SQL = "chr(CAST(97 + least(greatest((SELECT count(*) FROM edges_ WHERE e < tail) - 1, 0), (SELECT count(*) FROM edges_) - 2) AS INTEGER))"
+
+
+@register("network_input_orders", ["N20", "N3", "N10", "N1"], sql=with_sql(PROCESS_SQL, _qcut_sql(5), f"""
+m AS (SELECT avg(price) AS mean, stddev_samp(price) AS std, avg(y) AS ymean, stddev_samp(y) AS ystd, avg(flat) AS f FROM mixed),
+l AS (SELECT *, CASE WHEN tail IS NULL THEN 'null' ELSE {LETTER_SQL} END AS letter FROM mixed),
+hot AS (SELECT id, list_sort(['priority_' || coalesce(priority, '-99'), 'status_' || status, 'tail_' || letter]) AS on_ FROM l)""") + """
+SELECT id, round((coalesce(price, mean) - mean) / (std + 1e-8), 6) AS price, 0.0 AS flat, array_to_string(on_, ',') AS hot,
+       (SELECT count(DISTINCT coalesce(priority, '-99')) + count(DISTINCT status) + count(DISTINCT letter) FROM l) AS n_hot_columns
+FROM mixed JOIN hot USING (id), m""")
+def network_input_orders(spark, sf):
+    """One-hot columns of a row as the list of those that are 1; 'customer' has too many values, 'rare' too many nulls."""
+    from ..operators import spec as fs
+    df = mixed_rows(spark, sf).drop("y")
+    sp = fs.network_fit(df, exclude=["id"], skew_threshold=1.0)
+    out = fs.network_transform(df, sp, keep=["id"])
+    hot = [c for c in out.columns if c not in ("id", "price", "flat")]
+    on = F.array_sort(F.filter(F.array(*[F.when(F.col(f"`{c}`") == 1, F.lit(c)) for c in hot]), F.isnotnull))
+    return round_doubles(out.select("id", "price", "flat", F.array_join(on, ",").alias("hot"), F.lit(len(hot)).cast("long").alias("n_hot_columns")))
+
+
+@register("fm_input_orders", ["N21"], sql=with_sql(PROCESS_SQL, _qcut_sql(5), f"""
+tr AS (SELECT * FROM mixed WHERE id % 2 = 0 AND (status <> 'P')),
+m AS (SELECT avg(price) AS mean, stddev_samp(price) AS std FROM tr),
+pv AS (SELECT value, row_number() OVER (ORDER BY value) - 1 AS idx FROM (SELECT DISTINCT coalesce(priority, '-99') AS value FROM tr)),
+sv AS (SELECT value, row_number() OVER (ORDER BY value) - 1 + (SELECT count(*) FROM pv) AS idx FROM (SELECT DISTINCT status AS value FROM tr)),
+n AS (SELECT (SELECT count(*) FROM pv) AS p, (SELECT count(*) FROM pv) + (SELECT count(*) FROM sv) AS at)""") + """
+SELECT id, CAST(list_value(coalesce(pv.idx, 0), coalesce(sv.idx, n.p), n.at) AS VARCHAR) AS xi, CASE WHEN pv.idx IS NULL THEN 0.0 ELSE 1.0 END AS x0, CASE WHEN sv.idx IS NULL THEN 0.0 ELSE 1.0 END AS x1,
+       round(CAST(CAST((coalesce(price, mean) - mean) / (std + 1e-8) AS FLOAT) AS DOUBLE), 3) AS x2
+FROM mixed LEFT JOIN pv ON coalesce(priority, '-99') = pv.value LEFT JOIN sv ON status = sv.value, n, m""")
+def fm_input_orders(spark, sf):
+    """Fitted on the even finished or open orders, applied to all: a status that was not there has the smallest id and value 0."""
     from ..operators import spec as fs
-    df = labelled(spark, sf).select("id", "priority", "price", "y")
-    sp = fs.fit(df, exclude=["id", "y"])
-    tr = fs.transform(df, sp)
-    _ = fs.model_input(tr, sp, "id")
-    return round_doubles(tr.groupBy(F.col("priority").cast("long").alias("priority_idx"))
-                         .agg(F.avg("price").alias("mean_price"), F.count(F.lit(1)).alias("n")))
+    df = mixed_rows(spark, sf).drop("y", "tail")
+    sp = fs.fm_fit(df.filter("id % 2 = 0 AND status <> 'P'"), exclude=["id"], skew_threshold=1.0)
+    x = fs.fm_transform(df, sp, "id")
+    at = lambda i: F.col("xv")[i].cast("double")
+    return x.select("id", F.concat(F.lit("["), F.concat_ws(", ", F.transform("xi", lambda i: i.cast("string"))), F.lit("]")).alias("xi"), at(0).alias("x0"), at(1).alias("x1"), F.round(at(2), 3).alias("x2"))
