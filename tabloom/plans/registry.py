@@ -47,5 +47,5 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
 
 def load_all():
     """Import every query module so that registration runs."""
-    from . import q_binning, q_core, q_encode, q_eval, q_func, q_graph, q_guide, q_io, q_select, q_stream, q_topics, q_train  # noqa: F401
+    from . import q_binning, q_core, q_encode, q_eval, q_func, q_graph, q_guide, q_heads, q_io, q_select, q_stream, q_topics, q_train  # noqa: F401
     return QUERIES
