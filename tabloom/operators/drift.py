@@ -7,9 +7,13 @@ in one grouped aggregate, and compared on the small count table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .encode import quantile_edges
 from .stats import equal_width_bucket
 
@@ -65,49 +69,79 @@ def monthly_psi(df: DataFrame, month: str, cat_cols: list[str], num_cols: list[s
     return out.withColumn("avg", sum(F.coalesce(F.col(n), F.lit(0.0)) for n in label.values()) / F.lit(float(len(label))))
 
 
+MISSING = "_missing"
+
+
+@dataclass
+class PsiBase:
+    """What later rows are compared with: the inner edges of continuous columns (a few each) and the table
+    (feature, bucket, n) of the base rows, empty bins and ``_missing`` included."""
+
+    edges: dict
+    discrete: list
+    counts: DataFrame
+
+
+def _buckets(df: DataFrame, edges: dict, discrete: list[str]) -> dict[str, Column]:
+    """Bucket of every column as a text: the number of a bin, or a discrete value as it is; null is ``_missing`` but for
+    texts, where it is the value 'nan'."""
+    out = {}
+    for c, inner in edges.items():
+        x = F.col(c).cast("double")
+        place = sum((F.when(x > F.lit(v), 1).otherwise(0) for v in inner), F.lit(0))
+        out[c] = F.when(x.isNull(), F.lit(MISSING)).otherwise(place.cast("string"))
+    for c in discrete:
+        out[c] = F.coalesce(F.col(c).cast("string"), F.lit("nan" if df.schema[c].dataType.simpleString() == "string" else MISSING))
+    return out
+
+
+def psi_base(base: DataFrame, continuous: list[str] = (), discrete: list[str] = (), bins: int = 10) -> PsiBase:
+    """Quantile bins of the base rows, open at both ends, and their counts; the values of a discrete column stay a table."""
+    found = {c: quantile_edges(base.filter(F.col(c).isNotNull()), c, bins) for c in continuous}
+    edges = {c: e[1:-1] if len(e) > 1 else [] for c, e in found.items()}
+    spark = base.sparkSession
+    counted = _share_table(base.withColumn("__part", F.lit(0)), "__part", _buckets(base, edges, list(discrete))).select("feature", "bucket", "n")
+    grid = [(c, str(i)) for c, e in edges.items() for i in range(len(e) + 1)] + [(c, MISSING) for c in [*edges, *discrete]]
+    empty = spark.createDataFrame(grid, "feature string, bucket string").withColumn("n", F.lit(0).cast("long"))
+    whole = counted.unionByName(empty).groupBy("feature", "bucket").agg(F.sum("n").alias("n"))
+    return PsiBase(edges, list(discrete), cut_lineage(whole))
+
+
+def save_base(base: PsiBase, path: str) -> None:
+    base.counts.write.mode("overwrite").parquet(f"{path}/counts")
+    said = json.dumps({"edges": base.edges, "discrete": base.discrete})
+    base.counts.sparkSession.createDataFrame([(said,)], "base string").coalesce(1).write.mode("overwrite").text(f"{path}/base")
+
+
+def load_base(spark: SparkSession, path: str) -> PsiBase:
+    said = json.loads(spark.read.text(f"{path}/base").first()[0])
+    return PsiBase(said["edges"], said["discrete"], spark.read.parquet(f"{path}/counts"))
+
+
+def psi_detail(df: DataFrame, part: str, base: PsiBase, parts: list, minimal: int = 1) -> DataFrame:
+    """(var, part, bucket, n, share, base_share, term) of every bucket of the base in every part; a part's psi is the sum
+    of its terms. Values the base has not are ``_missing``. Empty buckets count ``minimal``; ``_missing`` is left out
+    where neither the base nor a part has any. The parts are given; buckets are joined, never collected."""
+    kind = df.schema[part].dataType
+    seen = _share_table(df.filter(F.col(part).isin(parts)), part, _buckets(df, base.edges, base.discrete))
+    known = base.counts.select("feature", "bucket", F.lit(True).alias("known"))
+    seen = (seen.join(known, ["feature", "bucket"], "left").withColumn("bucket", F.when(F.col("known"), F.col("bucket")).otherwise(F.lit(MISSING)))
+            .groupBy("part", "feature", "bucket").agg(F.sum("n").alias("n")))
+    grid = base.counts.select("feature", "bucket", F.col("n").alias("base_n"), F.explode(F.array(*[F.lit(p).cast(kind) for p in parts])).alias("part"))
+    full = cut_lineage(grid.join(seen, ["part", "feature", "bucket"], "left").fillna(0, ["n"]))
+    any_missing = full.filter(F.col("bucket") == MISSING).groupBy("feature").agg((F.max("n") + F.max("base_n") > 0).alias("has"))
+    full = full.join(any_missing, "feature").filter((F.col("bucket") != MISSING) | F.col("has"))
+    at_least = lambda c: F.when(F.col(c) == 0, F.lit(minimal)).otherwise(F.col(c)).cast("double")
+    full = full.select("part", "feature", "bucket", at_least("n").alias("n"), at_least("base_n").alias("base_n"))
+    total = full.groupBy("part", "feature").agg(F.sum("n").alias("t"), F.sum("base_n").alias("bt"))
+    share, base_share = F.col("n") / F.col("t"), F.col("base_n") / F.col("bt")
+    return full.join(total, ["part", "feature"]).select(F.col("feature").alias("var"), "part", "bucket", F.col("n").cast("long").alias("n"), share.alias("share"), base_share.alias("base_share"),
+                                                        ((base_share - share) * F.ln(base_share / share)).alias("term"))
+
+
 def psi_table(df: DataFrame, part: str, continuous: list[str] = (), discrete: list[str] = (), bins: int = 10,
               minimal: int = 1, part_values: list | None = None) -> DataFrame:
-    """PSI of every part against the first (base). Continuous: base quantile
-    edges with +-inf ends; discrete: the base's values, unseen -> '_missing'. Empty
-    buckets count ``minimal``; '_missing' is dropped when no part has any.
-    Returns (var, part, psi)."""
+    """(var, part, psi) of every part against the first one."""
     parts = part_values or [r[0] for r in df.select(part).distinct().orderBy(part).collect()]
-    base_v = parts[0]
-    base = df.filter(F.col(part) == base_v)
-    buckets, domains = {}, {}
-    for c in continuous:
-        e = quantile_edges(base.filter(F.col(c).isNotNull()), c, bins)
-        inner = e[1:-1] if len(e) > 1 else []
-        x = F.col(c).cast("double")
-        idx = F.lit(0)
-        for v in inner:
-            idx = idx + F.when(x > F.lit(v), 1).otherwise(0)
-        buckets[c] = F.when(x.isNull(), F.lit("_missing")).otherwise(idx.cast("string"))
-        domains[c] = [str(i) for i in range(len(inner) + 1)] + ["_missing"]
-    for c in discrete:
-        t = df.schema[c].dataType.simpleString()
-        if t in ("string",):
-            s = F.coalesce(F.col(c), F.lit("nan"))
-            vals = sorted(r[0] for r in base.select(s.alias("v")).distinct().collect())
-        else:
-            s = F.col(c).cast("string")
-            vals = [str(r[0]) for r in base.select(F.col(c).cast("string")).dropna().distinct().collect()]
-            vals = sorted(vals, key=float)
-        if "_missing" not in vals:
-            vals = ["_missing"] + vals
-        buckets[c] = F.when(s.isin(vals), s).otherwise(F.lit("_missing"))
-        domains[c] = vals
-    cnt = _share_table(df.filter(F.col(part).isin(parts)), part, buckets)
-    spark = df.sparkSession
-    grid = spark.createDataFrame([(c, b, p) for c, bs in domains.items() for b in bs for p in parts],
-                                 f"feature string, bucket string, part {df.schema[part].dataType.simpleString()}")
-    full = grid.join(cnt, ["part", "feature", "bucket"], "left").fillna(0, ["n"])
-    has_nan = full.filter(F.col("bucket") == "_missing").groupBy("feature").agg(F.max("n").alias("_mx"))
-    full = full.join(has_nan, "feature").filter((F.col("bucket") != "_missing") | (F.col("_mx") > 0)).drop("_mx")
-    full = full.withColumn("n", F.when(F.col("n") == 0, F.lit(minimal)).otherwise(F.col("n")).cast("double"))
-    tot = full.groupBy("part", "feature").agg(F.sum("n").alias("tot"))
-    sh = full.join(tot, ["part", "feature"]).withColumn("share", F.col("n") / F.col("tot"))
-    b = sh.filter(F.col("part") == F.lit(base_v)).select("feature", "bucket", F.col("share").alias("b"))
-    j = sh.join(b, ["feature", "bucket"])
-    return j.groupBy(F.col("feature").alias("var"), "part").agg(
-        F.sum((F.col("b") - F.col("share")) * F.ln(F.col("b") / F.col("share"))).alias("psi"))
+    base = psi_base(df.filter(F.col(part) == parts[0]), continuous, discrete, bins)
+    return psi_detail(df, part, base, parts, minimal).groupBy("var", "part").agg(F.sum("term").alias("psi"))

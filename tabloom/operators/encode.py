@@ -202,6 +202,21 @@ def mean_fit(df: DataFrame, label: str, cols: list[str], n_critical: float = 1,
     return out.select("feature", "value", "cls", "cnt", "code")
 
 
+def mean_transform(df: DataFrame, fitted: DataFrame, cols: list[str], drop_last: bool = False, replace_na: str = "-99") -> DataFrame:
+    """Each column of ``cols`` becomes ``<column>_<class>``, one a class (the last one left out with ``drop_last``);
+    a value that was not there at the fit gets the prior. ``fitted``: the table of ``mean_fit``, looked up by a join."""
+    some = fitted.filter(F.col("feature") == fitted.select(F.min("feature")).scalar()).groupBy("cls").agg(F.sum("cnt").alias("n")).collect()  # a row a class
+    total = sum(r["n"] for r in some)
+    prior = {str(r["cls"]): r["n"] / total for r in some} if total else {}
+    classes = sorted(prior)[:-1] if drop_last else sorted(prior)
+    out = df
+    for c in cols:
+        wide = fitted.filter(F.col("feature") == c).groupBy(F.col("value").alias("__value")).agg(*[F.max(F.when(F.col("cls").cast("string") == k, F.col("code"))).alias(f"__{k}") for k in classes])
+        out = out.withColumn("__value", F.coalesce(_str(c), F.lit(replace_na))).join(wide, "__value", "left")
+        out = out.withColumns({f"{c}_{k}": F.coalesce(F.col(f"__{k}"), F.lit(prior[k])) for k in classes}).drop("__value", *[f"__{k}" for k in classes])
+    return out.drop(*cols)
+
+
 # ---------------------------------------------------------------- N7 factorise ----
 def factorize(df: DataFrame, col: str, order_col: str, out: str | None = None, na_sentinel: int = -1) -> DataFrame:
     """Codes by first appearance along ``order_col`` (trap T3: an explicit order)."""
@@ -361,6 +376,15 @@ def bin_cdf_transform(df: DataFrame, col: str, fitted: DataFrame, out: str = "cd
     return df.withColumn(out, idx / F.lit(float(len(edges) - 1)))
 
 
+def bin_cdf_inverse(df: DataFrame, col: str, fitted: DataFrame, out: str = "value") -> DataFrame:
+    """N14 backwards: the mean of the bin whose cumulative share is nearest to ``col``."""
+    rows = sorted(fitted.collect(), key=lambda r: r["bin"])  # bounded by number_bins
+    last = max(len(rows) - 2, 0)
+    means = F.array(*[F.lit(r["mean"]).cast("double") for r in rows[:last + 1]])
+    at = F.least(F.greatest(F.round(F.col(col) * F.lit(float(len(rows) - 1))), F.lit(0.0)), F.lit(float(last))).cast("int")
+    return df.withColumn(out, means[at])
+
+
 def ecdf_quantize(df: DataFrame, col: str, q: int, out: str = "qnorm") -> DataFrame:
     """Empirical CDF (share of rows <= x) then floor(q*cdf)/q; ties share a value."""
     counts = df.groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_v").isNotNull())

@@ -223,6 +223,12 @@ def focal_loss(p: Column, y: Column, alpha: float = 0.25, gamma: float = 2.0, ep
             - F.lit(1 - alpha) * F.pow(q, gamma) * (1 - y) * F.ln(1 - q))
 
 
+def focal_loss_classes(p: Column, y: Column, alpha: list[float], gamma: float = 2.0, eps: float = 1e-7) -> Column:
+    """E12 for several classes: ``p`` an array of probabilities, ``y`` the class from 0, a weight for every class."""
+    q = F.least(F.greatest(p[y].cast("double"), F.lit(eps)), F.lit(1 - eps))
+    return -F.array(*[F.lit(float(a)) for a in alpha])[y] * F.pow(1 - q, gamma) * F.ln(q)
+
+
 # ------------------------------------------------------------------ E15/E16 -------
 def calibration(df: DataFrame, score: str, label: str, bins: int = 10) -> DataFrame:
     """Mean predicted vs observed rate per equal-width bin of [0, 1]."""

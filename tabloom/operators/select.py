@@ -138,18 +138,30 @@ TRANSFORMS: dict[str, callable] = {
 }
 
 
+PAIRS: dict[str, callable] = {}
+
+
 def register_primitive(name: str, fn, kind: str = "agg"):
-    """User primitive: one-column transform or many-to-one aggregate (Column -> Column)."""
-    (PRIMITIVES if kind == "agg" else TRANSFORMS)[name] = fn
+    """User primitive: "agg" many rows to one, "trans" one column, "trans2" two columns (Columns -> Column)."""
+    {"agg": PRIMITIVES, "trans": TRANSFORMS, "trans2": PAIRS}[kind][name] = fn
+
+
+def encode_top(df: DataFrame, col: str, n: int) -> tuple[DataFrame, list[str]]:
+    """A 0/1 column ``<col>_<value>`` for each of the ``n`` most frequent values (ties: the smaller), and those values."""
+    found = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__n")).orderBy(F.desc("__n"), col).limit(n).collect()
+    top = [str(r[col]) for r in found]
+    return df.withColumns({f"{col}_{v}": (F.col(col).cast("string") == v).cast("int") for v in top}), top
 
 
 def dfs(parent: DataFrame, parent_key: str, child: DataFrame, child_key: str, child_name: str,
         numeric: list[str] = (), booleans: dict[str, Column] | None = None, seeds: dict[str, Column] | None = None,
         where: dict[str, tuple[str, list]] | None = None, aggs=("mean", "max", "min"),
-        trans: dict[str, str] | None = None, ignore: list[str] = (), max_features: int | None = None) -> DataFrame:
+        trans: dict[str, str] | None = None, ignore: list[str] = (), max_features: int | None = None,
+        pairs: dict[tuple[str, str], str] | None = None) -> DataFrame:
     """Depth-1 deep feature synthesis: COUNT(child), <agg>(child.numeric),
     PERCENT_TRUE(child.boolean), seed features (boolean exprs), WHERE primitives
-    (count per interesting value) and transforms on the parent."""
+    (count per interesting value) and transforms of one or two columns (``pairs``) on the
+    parent. ``max_features`` caps the aggregates, in this order."""
     feats: dict[str, Column] = {f"COUNT({child_name})": F.count(F.lit(1))}
     for c in numeric:
         if c in ignore:
@@ -170,4 +182,6 @@ def dfs(parent: DataFrame, parent_key: str, child: DataFrame, child_key: str, ch
     out = parent.join(agg, parent_key, "left").fillna(0, [f"COUNT({child_name})"])
     for col, t in (trans or {}).items():
         out = out.withColumn(f"{t.upper()}({col})", TRANSFORMS[t](F.col(col)))
+    for (a, b), t in (pairs or {}).items():
+        out = out.withColumn(f"{t.upper()}({a}, {b})", PAIRS[t](F.col(a), F.col(b)))
     return out

@@ -313,9 +313,13 @@ def histogram_edges(spark, sf):
     return core.histogram(table(spark, sf, "lineitem"), "l_quantity", [0, 5, 25, 50]).select("bucket", "count")
 
 
-@register("describe_lineitem", ["A13"])
+@register("describe_lineitem", ["A13"], sql="""
+WITH s AS (SELECT count(l_quantity) AS n1, count(l_discount) AS n2, avg(l_quantity) AS a1, avg(l_discount) AS a2, stddev_samp(l_quantity) AS s1, stddev_samp(l_discount) AS s2,
+                  min(l_quantity) AS lo1, min(l_discount) AS lo2, max(l_quantity) AS hi1, max(l_discount) AS hi2 FROM lineitem)
+SELECT unnest(['count', 'mean', 'stddev', 'min', 'max']) AS summary, round(unnest([n1, a1, s1, lo1, hi1]::DOUBLE[]), 6) AS l_quantity, round(unnest([n2, a2, s2, lo2, hi2]::DOUBLE[]), 6) AS l_discount FROM s""")
 def describe_lineitem(spark, sf):
-    return table(spark, sf, "lineitem").describe("l_quantity", "l_discount")
+    d = table(spark, sf, "lineitem").describe("l_quantity", "l_discount")
+    return round_doubles(d.select("summary", F.col("l_quantity").cast("double").alias("l_quantity"), F.col("l_discount").cast("double").alias("l_discount")))
 
 
 @register("crosstab_status_priority", ["A14"], sql="""
@@ -331,9 +335,18 @@ def crosstab_status_priority(spark, sf):
     return core.crosstab(table(spark, sf, "orders"), "o_orderstatus", "o_orderpriority", vals)
 
 
-@register("freq_items_events", ["A15"])
+@register("freq_items_events", ["A15"], sql="""
+WITH i AS (SELECT 'event_type' AS col, event_type AS item, count(*) AS n FROM events GROUP BY ALL UNION ALL SELECT 'value', CAST(round(value) AS VARCHAR), count(*) FROM events GROUP BY ALL)
+SELECT col, item, n, true AS proposed FROM i WHERE n > 0.1 * (SELECT count(*) FROM events)""")
 def freq_items_events(spark, sf):
-    return table(spark, sf, "events").freqItems(["event_type", "user_id"], support=0.1)
+    """Every item above the support, with its exact count; the one-pass proposal (false positives allowed) holds them all."""
+    e = table(spark, sf, "events").select("event_type", F.round("value").cast("long").cast("string").alias("value"))
+    proposed = e.freqItems(["event_type", "value"], support=0.1).first()
+    items = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).alias("item")) for c in e.columns]))
+    counts = e.select(items.alias("i")).groupBy("i.col", "i.item").agg(F.count(F.lit(1)).alias("n"))
+    n = e.select(F.count(F.lit(1))).scalar()
+    found = F.when(F.col("col") == "event_type", F.col("item").isin(proposed["event_type_freqItems"])).otherwise(F.col("item").isin(proposed["value_freqItems"]))
+    return counts.filter(F.col("n") > 0.1 * n).withColumn("proposed", found)
 
 
 @register("corr_cov_lineitem", ["A16", "T8"], sql="""
@@ -633,7 +646,27 @@ def rare_values_users(spark, sf):
 
 
 # ------------------------------------------------------------------ V* ------------
-@register("partition_layout", ["V1", "V2", "V3", "D9"])
+@register("partition_layout", ["V1", "V2", "V3", "D9"], sql="""
+SELECT 'rows' AS fact, count(*) AS n FROM orders UNION ALL SELECT 'hash: keys not where their hash says', 0 UNION ALL SELECT 'coalesce: partitions', 4 UNION ALL SELECT 'coalesce to 50 of 8: partitions', 8
+UNION ALL SELECT 'range: pairs of neighbours that overlap', 0 UNION ALL SELECT 'own function: rows elsewhere', 0 UNION ALL SELECT 'hash: partitions of a key, at most', 1""")
 def partition_layout(spark, sf):
-    o = table(spark, sf, "orders").repartition(8, "o_custkey").coalesce(4)
-    return o.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("n"))
+    """Where rows go: by hash of a key, by range, by a function of the user; fewer partitions without a shuffle."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    here = F.spark_partition_id()
+    hashed = o.repartition(8, "o_custkey").withColumn("pid", here)
+    wrong = hashed.filter(F.col("pid") != F.pmod(F.hash("o_custkey"), F.lit(8)))
+    spread = hashed.groupBy("o_custkey").agg(F.count_distinct("pid").alias("p")).agg(F.max("p").cast("long").alias("n"))
+    fewer = o.repartition(8, "o_custkey").coalesce(4)
+    ranges = o.repartitionByRange(5, "o_orderkey").groupBy(here.alias("pid")).agg(F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
+    overlap = ranges.alias("a").join(ranges.alias("b"), F.col("b.pid") == F.col("a.pid") + 1).filter("a.hi >= b.lo")
+    own = o.repartitionById(4, (F.col("o_custkey") % 4).cast("int")).withColumn("pid", here).filter(F.col("pid") != F.col("o_custkey") % 4)
+    fact = lambda name, df: df.select(F.lit(name).alias("fact"), F.col("n").cast("long").alias("n"))
+    n = F.count(F.lit(1)).alias("n")
+    facts = [fact("rows", hashed.agg(n)), fact("hash: keys not where their hash says", wrong.agg(n)), fact("hash: partitions of a key, at most", spread),
+             fact("coalesce: partitions", spark.range(1).select(F.lit(fewer.rdd.getNumPartitions()).alias("n"))),
+             fact("coalesce to 50 of 8: partitions", spark.range(1).select(F.lit(o.repartition(8, "o_custkey").coalesce(50).rdd.getNumPartitions()).alias("n"))),
+             fact("range: pairs of neighbours that overlap", overlap.agg(n)), fact("own function: rows elsewhere", own.agg(n))]
+    out = facts[0]
+    for f in facts[1:]:
+        out = out.unionByName(f)
+    return out

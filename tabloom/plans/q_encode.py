@@ -82,6 +82,22 @@ def mean_encode_multiclass(spark, sf):
     return round_doubles(enc.mean_fit(c, "cls", ["c_mktsegment"]))
 
 
+@register("mean_encode_transform", ["N5"], sql="""
+WITH c AS (SELECT c_custkey, c_mktsegment, c_nationkey % 3 AS cls FROM customer),
+f AS (SELECT * FROM c WHERE c_mktsegment <> 'BUILDING'),
+pr AS (SELECT cls, count(*) / (SELECT count(*) FROM f) AS prior FROM f GROUP BY 1),
+cell AS (SELECT v.c_mktsegment AS value, pr.cls, prior, (SELECT count(*) FROM f WHERE f.c_mktsegment = v.c_mktsegment AND f.cls = pr.cls) AS cnt FROM (SELECT DISTINCT c_mktsegment FROM f) v, pr),
+raw AS (SELECT value, cls, (1 - s) * prior + s * cnt / sum(cnt) OVER (PARTITION BY value) AS raw FROM (SELECT *, 1.0 / (1.0 + exp(-(cnt - 1))) AS s FROM cell)),
+code AS (SELECT value, cls, raw / sum(raw) OVER (PARTITION BY value) AS code FROM raw)
+SELECT c_custkey, round(coalesce(max(code) FILTER (code.cls = 0), (SELECT prior FROM pr WHERE cls = 0)), 6) AS c_mktsegment_0, round(coalesce(max(code) FILTER (code.cls = 1), (SELECT prior FROM pr WHERE cls = 1)), 6) AS c_mktsegment_1
+FROM c LEFT JOIN code ON c_mktsegment = value GROUP BY 1""")
+def mean_encode_transform(spark, sf):
+    """Fitted without one segment, applied to all: its customers get the prior; the last class is left out."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", (F.col("c_nationkey") % 3).alias("cls"))
+    fit = enc.mean_fit(c.filter("c_mktsegment <> 'BUILDING'"), "cls", ["c_mktsegment"])
+    return round_doubles(enc.mean_transform(c, fit, ["c_mktsegment"], drop_last=True).drop("cls"))
+
+
 @register("woe_transform_orders", ["N6", "J7"], sql=with_sql(LABELLED_SQL, """
 tot AS (SELECT sum(y) AS gpos, count(*) - sum(y) AS gneg FROM labelled),
 w AS (SELECT coalesce(app_month, '-99') AS value,

@@ -215,3 +215,17 @@ FROM per""")
 def conversion_click_purchase(spark, sf):
     e = table(spark, sf, "events")
     return round_doubles(ev.conditional_rate(e, "user_id", F.col("event_type") == "click", F.col("event_type") == "purchase"))
+
+
+@register("focal_loss_classes", ["E12"], sql="""
+WITH z AS (SELECT CAST(CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS INTEGER) AS y, 0.2 + 0.5 * (o_orderkey % 7) / 7.0 AS a, 0.1 + 0.1 * (o_custkey % 3) / 3.0 AS b FROM orders),
+q AS (SELECT y, least(greatest(CASE y WHEN 0 THEN a WHEN 1 THEN b ELSE 1 - a - b END, 1e-7), 1 - 1e-7) AS q FROM z)
+SELECT y, count(*) AS n, round(avg(-CASE y WHEN 0 THEN 0.25 WHEN 1 THEN 0.5 ELSE 1.0 END * pow(1 - q, 2) * ln(q)), 6) AS focal FROM q GROUP BY 1""")
+def focal_loss_classes(spark, sf):
+    """Three classes with a weight each."""
+    o = table(spark, sf, "orders")
+    a, b = 0.2 + 0.5 * (F.col("o_orderkey") % 7) / 7.0, 0.1 + 0.1 * (F.col("o_custkey") % 3) / 3.0
+    y = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+    z = o.select(y.alias("y"), F.array(a, b, 1 - a - b).alias("p"))
+    loss = ev.focal_loss_classes(F.col("p"), F.col("y"), [0.25, 0.5, 1.0])
+    return round_doubles(z.groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.avg(loss).alias("focal")))

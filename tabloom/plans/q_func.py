@@ -104,6 +104,26 @@ def position_codes_turns(spark, sf):
                                   F.col("pe")[6].alias("pe6")))
 
 
+@register("set_ops_parts", ["F18"], sql="""
+WITH w AS (SELECT p_partkey, string_split(p_name, ' ') AS a, string_split(p_type, ' ') AS b FROM part)
+SELECT p_partkey, len(list_distinct(a)) AS n_distinct, len(list_distinct(list_filter(a, lambda x: NOT list_contains(b, x)))) AS n_only_name, len(list_distinct(list_filter(a, lambda x: list_contains(b, x)))) AS n_both FROM w""")
+def set_ops_parts(spark, sf):
+    p = table(spark, sf, "part").select("p_partkey", F.split("p_name", " ").alias("a"), F.split("p_type", " ").alias("b"))
+    size = lambda c: F.size(c).cast("long")
+    return p.select("p_partkey", size(F.array_distinct("a")).alias("n_distinct"), size(F.array_except("a", "b")).alias("n_only_name"), size(F.array_intersect("a", "b")).alias("n_both"))
+
+
+@register("char_ngram_buckets", ["F23"], sql="""
+WITH w AS (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part),
+g AS (SELECT p_partkey, substr('#' || word || '#', i, 3) AS g FROM w, range(1, greatest(length(word) + 2 - 3 + 1, 1) + 1) t(i))
+SELECT CAST(CAST('0x' || substr(md5(g), 1, 8) AS BIGINT) % 64 AS INTEGER) AS bucket, count(*) AS n, count(DISTINCT p_partkey) AS parts FROM g GROUP BY 1""")
+def char_ngram_buckets(spark, sf):
+    """N-grams of the words of a name, hashed into 64 buckets."""
+    w = table(spark, sf, "part").select("p_partkey", F.explode(F.split("p_name", " ")).alias("word"))
+    g = w.select("p_partkey", F.explode(fx.char_ngrams(F.col("word"))).alias("g"))
+    return g.groupBy(fx.hash_bucket(F.col("g"), 64).alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("p_partkey").alias("parts"))
+
+
 @register("char_ngrams_parts", ["F23"], sql="""
 WITH w AS (SELECT unnest(string_split(p_name, ' ')) AS word FROM part),
 g AS (SELECT substr('#' || word || '#', i, 3) AS g FROM w, range(1, greatest(length(word) + 2 - 3 + 1, 1) + 1) t(i))

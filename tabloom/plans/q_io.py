@@ -35,7 +35,7 @@ def whole_files_pages(spark, sf):
     return lines.agg(F.count(F.lit(1)).alias("n_files"), F.sum(F.length("l")).alias("n_chars"))
 
 
-@register("json_csv_roundtrip", ["IO4", "IO5", "IO6", "IO12"], sql="""
+@register("json_csv_roundtrip", ["IO4", "IO5", "IO6"], sql="""
 SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1""")
 def json_csv_roundtrip(spark, sf):
     e = table(spark, sf, "events").select("event_id", "event_type", "value")
@@ -64,7 +64,67 @@ def orc_partitioned_sql_on_file(spark, sf):
     return df.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 4).alias("qty"))
 
 
-@register("recursive_scan_glob", ["IO21", "R2"], sql="""
+@register("sequence_and_hadoop_files", ["IO7", "IO8"], sql="""
+SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total, count(*) AS lines, CAST(sum(length(o_orderpriority)) AS BIGINT) AS chars FROM orders GROUP BY 1""")
+def sequence_and_hadoop_files(spark, sf):
+    """Prices by status through a sequence file, priorities by status through Hadoop's text formats."""
+    o = table(spark, sf, "orders")
+    one, two = scratch_path(spark, "orders-seq"), scratch_path(spark, "orders-hadoop")
+    io.write_sequence_file(o.withColumn("p", F.col("o_totalprice").cast("double")), "o_orderstatus", "p", one)
+    io.write_hadoop_text(o, "o_orderstatus", "o_orderpriority", two)
+    a = io.read_sequence_file(spark, one, "o_orderstatus string, p double").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("p"), 2).alias("total"))
+    lines = io.read_hadoop_text(spark, two).select(F.split("line", "\t").alias("f")).select(F.col("f")[0].alias("o_orderstatus"), F.col("f")[1].alias("v"))
+    return a.join(lines.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("v")).cast("long").alias("chars")), "o_orderstatus")
+
+
+@register("rows_from_program_data", ["IO12"], sql="""
+SELECT n_name, CASE n_regionkey WHEN 0 THEN 'AF' WHEN 1 THEN 'AM' WHEN 2 THEN 'AS' WHEN 3 THEN 'EU' WHEN 4 THEN 'ME' END AS code, n_regionkey * 10 AS weight, r_name FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def rows_from_program_data(spark, sf):
+    """Tables made from a list, from pandas and from rows with a struct type, met by a table that was read."""
+    import pandas as pd
+    from pyspark.sql import Row
+    from pyspark.sql import types as T
+    codes = spark.createDataFrame([(0, "AF"), (1, "AM"), (2, "AS"), (3, "EU"), (4, "ME")], "key int, code string")
+    weights = spark.createDataFrame(pd.DataFrame({"key": range(5), "weight": [0, 10, 20, 30, 40]}), "key int, weight long")
+    names = table(spark, sf, "region").select("r_regionkey", "r_name").collect()  # five rows
+    regions = spark.createDataFrame([Row(r["r_regionkey"], r["r_name"]) for r in names], T.StructType([T.StructField("key", T.IntegerType()), T.StructField("r_name", T.StringType())]))
+    n = table(spark, sf, "nation").select("n_name", F.col("n_regionkey").cast("int").alias("key"))
+    return n.join(codes, "key").join(weights, "key").join(regions, "key").select("n_name", "code", "weight", "r_name")
+
+
+@register("save_modes", ["IO15"], sql="""
+SELECT o_orderstatus, 2 * count(*) AS appended, count(*) AS overwritten, true AS refused FROM orders GROUP BY 1""")
+def save_modes(spark, sf):
+    """Append adds the rows again, overwrite leaves them once, ignore changes nothing, error refuses."""
+    from pyspark.errors import AnalysisException
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    one, two = scratch_path(spark, "modes-a"), scratch_path(spark, "modes-b")
+    io.save(o, one)
+    io.save(o, one, mode="append")
+    io.save(o, one, mode="ignore")
+    io.save(o.limit(10), two)
+    io.save(o, two, mode="overwrite")
+    try:
+        io.save(o, two)
+        refused = False
+    except AnalysisException:
+        refused = True
+    count = lambda path, name: spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias(name))
+    return count(one, "appended").join(count(two, "overwritten"), "o_orderstatus").withColumn("refused", F.lit(refused))
+
+
+@register("recursive_scan_regex", ["IO21"], sql="SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def recursive_scan_regex(spark, sf):
+    """Files of a tree whose names match a regular expression; the others hold rows that must not be read."""
+    root = scratch_path(spark, "events-tree")
+    e = table(spark, sf, "events").select("event_id", "event_type")
+    io.save(e, f"{root}/a/b", fmt="csv", header="true")
+    io.save(e, f"{root}/c", fmt="csv", header="true", compression="gzip")
+    df = io.read_files_named(spark, root, "csv", r"part-[0-9]+-.*\.csv", "event_id long, event_type string", header="true")
+    return df.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("recursive_scan_glob", ["IO21"], sql="""
 SELECT event_type, count(*) AS n FROM events GROUP BY 1""")
 def recursive_scan_glob(spark, sf):
     root = scratch_path(spark, "events-chunks")
@@ -76,21 +136,23 @@ def recursive_scan_glob(spark, sf):
     return df.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("fitted_state_roundtrip", ["IO22", "IO23", "N6"], sql=with_sql(SCORED_SQL) + """
+@register("fitted_state_roundtrip", ["IO22", "IO23", "N6"], sql=with_sql(SCORED_SQL, """
+tot AS (SELECT sum(y) AS gpos, count(*) - sum(y) AS gneg FROM scored),
+w AS (SELECT coalesce(priority, '-99') AS value, ln((sum(y) + 1.0) / (count(*) - sum(y) + 1.0)) - ln((max(gpos) + 2.0) / (max(gneg) + 2.0)) AS woe FROM scored, tot GROUP BY 1)""") + """
 SELECT CASE WHEN CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':' || '4'), 1, 8)) AS BIGINT) / 4294967296.0 < 0.8
-            THEN 'train' ELSE 'test' END AS split, count(*) AS n FROM scored GROUP BY 1""")
+            THEN 'train' ELSE 'test' END AS split, count(*) AS n, round(sum(woe), 4) AS woe FROM scored JOIN w ON coalesce(priority, '-99') = value GROUP BY 1""")
 def fitted_state_roundtrip(spark, sf):
+    """A fit and a split that were saved, read back and used."""
     from ..operators import core
-    from ..operators.encode import woe_fit
+    from ..operators.encode import woe_fit, woe_transform
     df = scored(spark, sf)
     fit_path, split_path = scratch_path(spark, "woe-fit"), scratch_path(spark, "splits")
-    woe_fit(df, "y", ["priority"]).write.mode("overwrite").parquet(fit_path)  # IO22 save
-    _ = spark.read.parquet(fit_path)                                           # IO22 load
+    woe_fit(df, "y", ["priority"]).write.mode("overwrite").parquet(fit_path)
     s = core.random_split(df, [0.8, 0.2], "id", seed=4).withColumn(
         "split", F.when(F.col("split") == 0, "train").otherwise("test"))
-    io.save(s, split_path, mode="overwrite", partition_by="split")            # IO23
-    back = spark.read.parquet(split_path)
-    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    io.save(s, split_path, mode="overwrite", partition_by="split")
+    back = woe_transform(spark.read.parquet(split_path), spark.read.parquet(fit_path), ["priority"])
+    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("priority"), 4).alias("woe"))
 
 
 @register("foreach_partition_json", ["IO25", "IO26", "P3"], sql="""
@@ -153,7 +215,7 @@ def adhoc_scoring_ctas(spark, sf):
     return out.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("scored_table_attach", ["M14", "E5"], sql=with_sql(SCORED_SQL) + """
+@register("scored_table_attach", ["M14"], sql=with_sql(SCORED_SQL) + """
 SELECT id, y, round(p, 6) AS p FROM scored""")
 def scored_table_attach(spark, sf):
     """Scores keep their id and label columns: no positional re-attach."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import drift, select
 from ..operators import evaluate as ev
+from ..session import scratch_path
 from .fixtures import LABELLED_SQL, labelled, table, with_sql
 from .registry import register, round_doubles
 from .sqlgen import ew_bucket_sql
@@ -77,6 +78,17 @@ def psi_by_year(spark, sf):
     return round_doubles(drift.psi_table(df, "part", continuous=["price"], discrete=["priority"]))
 
 
+@register("psi_detail_saved_base", ["E13", "IO22"], sql=PSI_SQL.rsplit("SELECT feature AS var", 1)[0].replace("j AS (SELECT o.part, o.feature, bs.share AS b, o.share AS c", "j AS (SELECT o.part, o.feature, o.bucket, o.n, bs.share AS b, o.share AS c") + """
+SELECT feature AS var, part, bucket, CAST(n AS BIGINT) AS n, round(c, 6) AS share, round(b, 6) AS base_share, round((b - c) * ln(b / c), 6) AS term FROM j""")
+def psi_detail_saved_base(spark, sf):
+    """The first year's base, saved and read back, against every year, bucket by bucket."""
+    df = labelled(spark, sf).withColumn("part", F.substring("app_month", 1, 4))
+    years = [r[0] for r in df.select("part").distinct().orderBy("part").collect()]
+    path = scratch_path(spark, "psi-base")
+    drift.save_base(drift.psi_base(df.filter(F.col("part") == years[0]), ["price"], ["priority"]), path)
+    return round_doubles(drift.psi_detail(df, "part", drift.load_base(spark, path), years))
+
+
 # ------------------------------------------------------------------ X1-X6 ---------
 WIDE_SQL = """wide AS (SELECT o_orderkey AS id, CAST(o_orderstatus = 'F' AS INTEGER) AS y, o_totalprice,
   CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
@@ -170,7 +182,7 @@ def feature_extract_wide(spark, sf):
 
 
 # ------------------------------------------------------------------ X10-X14 -------
-@register("dfs_order_features", ["X10", "X11", "X12", "X13", "X14", "D8", "F6"], sql="""
+@register("dfs_order_features", ["X10", "X11", "X12", "X13", "F6"], sql="""
 WITH a AS (SELECT l_orderkey AS o_orderkey, count(*) AS "COUNT(lineitem)",
                   round(avg(l_quantity), 6) AS "MEAN(lineitem.l_quantity)",
                   max(l_quantity) AS "MAX(lineitem.l_quantity)", min(l_quantity) AS "MIN(lineitem.l_quantity)",
@@ -178,13 +190,14 @@ WITH a AS (SELECT l_orderkey AS o_orderkey, count(*) AS "COUNT(lineitem)",
                   round(avg(CAST(l_extendedprice > 10000 AS DOUBLE)), 6) AS "PERCENT_TRUE(lineitem.big_line)",
                   count(*) FILTER (WHERE l_linestatus = 'F') AS "COUNT(lineitem WHERE l_linestatus = F)",
                   count(*) FILTER (WHERE l_linestatus = 'O') AS "COUNT(lineitem WHERE l_linestatus = O)"
-           FROM lineitem GROUP BY 1)
+           FROM lineitem GROUP BY 1),
+top AS (SELECT o_orderpriority AS v, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) AS r FROM orders GROUP BY 1)
 SELECT o.o_orderkey, coalesce(a."COUNT(lineitem)", 0) AS "COUNT(lineitem)", a."MEAN(lineitem.l_quantity)",
        a."MAX(lineitem.l_quantity)", a."MIN(lineitem.l_quantity)", a."PERCENT_TRUE(lineitem.returned)",
        a."PERCENT_TRUE(lineitem.big_line)", a."COUNT(lineitem WHERE l_linestatus = F)",
        a."COUNT(lineitem WHERE l_linestatus = O)", CAST(month(o.o_orderdate) AS INTEGER) AS "MONTH(o_orderdate)",
-       CAST(o.o_orderpriority = '1-URGENT' AS INTEGER) AS "o_orderpriority_1-URGENT",
-       CAST(o.o_orderpriority = '2-HIGH' AS INTEGER) AS "o_orderpriority_2-HIGH"
+       CAST(o.o_orderpriority = (SELECT v FROM top WHERE r = 1) AS INTEGER) AS o_orderpriority_top1,
+       CAST(o.o_orderpriority = (SELECT v FROM top WHERE r = 2) AS INTEGER) AS o_orderpriority_top2
 FROM orders o LEFT JOIN a USING (o_orderkey)""")
 def dfs_order_features(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority", "o_custkey")
@@ -194,12 +207,27 @@ def dfs_order_features(spark, sf):
                        seeds={"big_line": F.col("l_extendedprice") > 10000},
                        where={"l_linestatus": ("l_linestatus", ["F", "O"])}, aggs=("mean", "max", "min"),
                        trans={"o_orderdate": "month"}, ignore=["l_tax"])
-    top = ["1-URGENT", "2-HIGH"]  # encode_features: top values of the categorical output
-    for v in top:
-        feats = feats.withColumn(f"o_orderpriority_{v}", (F.col("o_orderpriority") == v).cast("int"))
+    feats, top = select.encode_top(feats, "o_orderpriority", 2)
+    for i, v in enumerate(top, 1):
+        feats = feats.withColumnRenamed(f"o_orderpriority_{v}", f"o_orderpriority_top{i}")
     return round_doubles(feats.drop("o_orderdate", "o_orderpriority", "o_custkey"))
 
 
+@register("dfs_user_primitives", ["X14", "D8"], sql="""
+WITH a AS (SELECT l_orderkey AS o_orderkey, count(*) AS n, round(max(l_quantity) - min(l_quantity), 6) AS spread FROM lineitem GROUP BY 1)
+SELECT o_orderkey, coalesce(n, 0) AS "COUNT(lineitem)", spread AS "SPREAD(lineitem.l_quantity)", CAST(month(o_orderdate) % 2 = 0 AS INTEGER) AS "EVEN_MONTH(o_orderdate)",
+       round(o_totalprice / (1 + o_custkey % 7), 6) AS "PER_GROUP(o_totalprice, o_custkey)" FROM orders LEFT JOIN a USING (o_orderkey)""")
+def dfs_user_primitives(spark, sf):
+    """Primitives of the user: many rows to one, one column, two columns; the number of aggregates is capped at two."""
+    select.register_primitive("spread", lambda c: F.max(c) - F.min(c))
+    select.register_primitive("even_month", lambda c: (F.month(c) % 2 == 0).cast("int"), kind="trans")
+    select.register_primitive("per_group", lambda a, b: a / (1 + b % 7), kind="trans2")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice", "o_custkey")
+    feats = select.dfs(o, "o_orderkey", table(spark, sf, "lineitem"), "l_orderkey", "lineitem", numeric=["l_quantity", "l_tax"], aggs=("spread",),
+                       trans={"o_orderdate": "even_month"}, pairs={("o_totalprice", "o_custkey"): "per_group"}, max_features=2)
+    return round_doubles(feats.drop("o_orderdate", "o_totalprice", "o_custkey"))
+
+
 @register("drop_sparse_columns", ["P20", "X1"], sql="""
 SELECT * FROM (VALUES ('id'), ('y'), ('o_totalprice'), ('o_orderpriority'), ('c_acctbal'), ('c_nationkey'),
                       ('c_mktsegment'), ('const_col')) t(kept)""")

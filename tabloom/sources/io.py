@@ -37,6 +37,34 @@ def read_files_matching(spark: SparkSession, root: str, fmt: str, glob: str) ->
             .withColumn("_file", F.col("_metadata.file_name")))
 
 
+def read_files_named(spark: SparkSession, root: str, fmt: str, pattern: str, schema: str | None = None, **opts) -> DataFrame:
+    """IO21: recursive directory scan keeping files whose whole name matches the regular expression; the name stays as ``_file``."""
+    reader = spark.read.format(fmt).option("recursiveFileLookup", "true").options(**opts)
+    df = (reader.schema(schema) if schema else reader).load(root)
+    return df.withColumn("_file", F.col("_metadata.file_name")).filter(F.col("_file").rlike(f"^(?:{pattern})$"))
+
+
+def write_sequence_file(df: DataFrame, key: str, value: str, path: str) -> None:
+    """IO7: (key, value) pairs as a sequence file. The format has no DataFrame writer, so the rows go through an RDD."""
+    df.select(key, value).rdd.map(tuple).saveAsSequenceFile(path)
+
+
+def read_sequence_file(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.createDataFrame(spark.sparkContext.sequenceFile(path), schema)
+
+
+def write_hadoop_text(df: DataFrame, key: str, value: str, path: str) -> None:
+    """IO8: pairs through a Hadoop output format (text: key, tab, value)."""
+    pairs = df.select(F.col(key).cast("string"), F.col(value).cast("string")).rdd.map(tuple)
+    pairs.saveAsNewAPIHadoopFile(path, "org.apache.hadoop.mapreduce.lib.output.TextOutputFormat", "org.apache.hadoop.io.Text", "org.apache.hadoop.io.Text")
+
+
+def read_hadoop_text(spark: SparkSession, path: str) -> DataFrame:
+    """IO8: (offset, line) through a Hadoop input format."""
+    rows = spark.sparkContext.newAPIHadoopFile(path, "org.apache.hadoop.mapreduce.lib.input.TextInputFormat", "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text")
+    return spark.createDataFrame(rows, "offset long, line string")
+
+
 def save(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists", partition_by=None, **opts) -> None:
     """IO15: save modes append / overwrite / ignore / error with hive-style partitions."""
     w = df.write.format(fmt).mode(mode).options(**opts)
