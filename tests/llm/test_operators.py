@@ -158,11 +158,11 @@ def test_chat_layouts(spark):
                    3: ("instruction", [("user", "i"), ("assistant", "o")]), 4: ("messages", [("system", "s"), ("user", "m")]), 5: (None, None)}
 
 
-@pytest.mark.parametrize("block_words", [500_000, 30])
-def test_decontaminate(spark, docs, empty, block_words):
+@pytest.mark.parametrize("chunk", [1 << 20, 300])
+def test_decontaminate(spark, docs, empty, chunk):
     items = [(1, PASSAGE), (2, "one"), (3, None), (4, "--"), (5, " ".join(PASSAGE.split()[10:30]).upper()), (5, "two WORDS"), (None, "ab ab"), (6, LINE)]
     bench = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
-    got = decontaminate.decontaminate(docs, bench, block_words=block_words)
+    got = decontaminate.decontaminate(docs, bench, chunk=chunk)
     items = [x for x in items if x[0] is not None]
     same(tuples(got, ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]), brute.contamination(awkward(), items))
     assert decontaminate.decontaminate(empty, bench).count() == 0
