@@ -1,9 +1,10 @@
 """Exact top-k inner products with an impact-ordered, score-at-a-time index.
 
 Vectors become integers floor(256 * x). They are dealt to blocks by a hash of their id; a block
-stores, for each impact level (the bit length of |component|, highest first), the posting segments
-of that level: component number, vector, signed value. A batch of queries processes the segments
-level by level and adds to all scores at once. After each level, Cauchy-Schwarz over what a vector
+stores, for each impact level (the bit length of |component|, highest first), the posting segment
+of that level: component number, vector, signed value, sorted by component. A batch of queries
+processes the segments level by level and adds to all scores: a thin segment posting by posting, one
+that holds most components of its block as the matrix it is. After each level, Cauchy-Schwarz over what a vector
 has in lower levels bounds its final score; a query stops as soon as its k-th best lower bound
 proves that few vectors can still be members, and those are rescored exactly from the whole
 vectors. Without proof it runs to the last level, where the sums are exact.
@@ -12,7 +13,9 @@ Defined results: vectors that are null or hold a null, NaN or infinite component
 vectors of different lengths are compared over their common components (missing ones are 0);
 rows that share the query's vec_id are the query's own; among rows that repeat a query id the
 smallest vector asks; repeated candidate rows may each be a result; null ids take no part; extra
-columns are ignored; an empty table gives an empty result.
+columns are ignored; an empty table gives an empty result. Sums are exact doubles up to 2**52; where the
+largest components allow greater scores, blocks are scored in 64-bit integers without stops, and where they
+allow scores of 2**63 an error is raised.
 """
 
 from __future__ import annotations
@@ -28,7 +31,10 @@ BLOCK_VECTORS = 4096
 BLOCK_QUERIES = 1024
 #: Members still possible at which rescoring is cheaper than another level.
 FEW = 64
-_EXACT = float(1 << 53)
+#: Share of a level's places that must be taken for the segment to be kept as a matrix.
+DENSE = 0.25
+#: Scores up to which every partial sum is an exact double.
+_EXACT = 1 << 52
 
 
 def quantised(embeddings: DataFrame, scale: int = 256) -> DataFrame:
@@ -58,23 +64,51 @@ class ImpactIndex:
         level[size > 0] = np.floor(np.log2(size[size > 0])).astype(np.int64) + 1
         self.levels = [int(n) for n in np.unique(level)[::-1] if n > 0]
         self.segments, self.rest = [], []
-        left = vectors.astype(np.float64)
+        left = (vectors.astype(np.float64) ** 2).sum(axis=1)
         for n in self.levels:
-            segment = np.where(level == n, vectors, 0).astype(np.float64)
-            left = left - segment
-            self.segments.append(np.ascontiguousarray(segment.T))
-            self.rest.append(np.sqrt((left ** 2).sum(axis=1)) * (1 + 1e-12))
-
-    def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each query (row of integers; ``own``: its id) the positions and exact scores that may be in its top k."""
+            at, component = np.nonzero(level == n)
+            values = vectors[at, component].astype(np.float64)
+            left = np.maximum(left - np.bincount(at, values ** 2, minlength=len(vectors)), 0)
+            if len(at) >= DENSE * vectors.size:
+                segment = np.zeros(vectors.shape[::-1])
+                segment[component, at] = values
+                self.segments.append(segment)
+            else:
+                order = np.argsort(component, kind="stable")
+                self.segments.append((component[order], at[order], values[order]))
+            self.rest.append(np.sqrt(left) * (1 + 1e-9) + 1e-3)
+
+    @staticmethod
+    def add(scores: np.ndarray, queries: np.ndarray, segment) -> None:
+        """Add a segment's part to the scores (queries by vectors)."""
+        if isinstance(segment, np.ndarray):
+            scores += queries @ segment
+            return
+        component, at, values = segment
+        edges = np.r_[0, np.flatnonzero(np.diff(component)) + 1, len(component)]
+        for lo, hi in zip(edges, edges[1:]):  # the postings of one component: each vector once
+            scores[:, at[lo:hi]] += queries[:, component[lo], None] * values[None, lo:hi]
+
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int, exact: bool = True) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (row of integers; ``own``: its id) the positions and exact scores that may be in its top k.
+        ``exact``: doubles hold every sum exactly; else integers are compared, without stops."""
         n = len(self.ids)
         asked = queries.astype(np.float64)
         length = np.sqrt((asked ** 2).sum(axis=1)) * (1 + 1e-12)
         mine = self.ids[None, :] == own[:, None]
         scores, open_ = np.zeros((len(queries), n)), np.arange(len(queries))
         out: list = [None] * len(queries)
+        if not exact:
+            for i, whole in enumerate(queries @ self.vectors.T):
+                others = np.flatnonzero(~mine[i])
+                if len(others) > k:
+                    others = others[whole[others] >= np.partition(whole[others], len(others) - k)[len(others) - k]]
+                out[i] = (others, whole[others])
+            return out
         for at, (segment, rest) in enumerate(zip(self.segments, self.rest)):
-            scores[open_] += asked[open_] @ segment
+            part = scores[open_]
+            self.add(part, asked[open_], segment)
+            scores[open_] = part
             last = at == len(self.levels) - 1
             slack = length[open_, None] * rest[None, :]
             low = np.where(mine[open_], -np.inf, scores[open_] - slack)
@@ -101,7 +135,11 @@ def top_k(embeddings: DataFrame, asks: Column, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: for every row for which ``asks`` (on vec_id) holds, its k highest
     scores among all other rows, ties to the smaller vec_id."""
     vectors = quantised(embeddings)
-    total, n_queries, low, high = vectors.agg(F.count(F.lit(1)), F.sum(asks.cast("int")), F.min(F.array_min("v")), F.max(F.array_max("v"))).first()
+    total, n_queries, low, high, width = vectors.agg(F.count(F.lit(1)), F.sum(asks.cast("int")), F.min(F.array_min("v")), F.max(F.array_max("v")), F.max(F.size("v"))).first()
+    peak = max(-(low or 0), high or 0) ** 2 * (width or 0)  # no score is greater
+    if peak >= 1 << 63:
+        raise ValueError("components are so large that scores may pass 64 bits")
+    small = peak < _EXACT
     blocks, asked_blocks = max(1, math.ceil(total / BLOCK_VECTORS)), max(1, math.ceil((n_queries or 0) / BLOCK_QUERIES))
     dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     queries = (vectors.filter(asks).groupBy("vec_id").agg(F.min("v").alias("v"))
@@ -117,7 +155,7 @@ def top_k(embeddings: DataFrame, asks: Column, k: int = 5) -> DataFrame:
             index = ImpactIndex(right["vec_id"].to_numpy(), _matrix(right["v"].tolist(), width))
             asked, own = _matrix(left["v"].tolist(), width), left["query_id"].to_numpy()
             for at in range(0, len(own), 128):
-                for q, (members, scores) in zip(own[at:at + 128], index.search(asked[at:at + 128], own[at:at + 128], k)):
+                for q, (members, scores) in zip(own[at:at + 128], index.search(asked[at:at + 128], own[at:at + 128], k, small)):
                     best = _best(index.ids[members], scores, k)
                     found["query_id"] += [q] * len(best)
                     found["vec_id"] += index.ids[members][best].tolist()

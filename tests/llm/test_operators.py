@@ -251,6 +251,28 @@ def test_top_k_stops_on_proof():
         assert len(members) <= topk.FEW
 
 
+def test_top_k_of_large_numbers(spark):
+    r = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in (1 << 19) + r.integers(0, 3, 8) / 256]) for i in range(200)]  # integers near 2**27, scores near 2**57
+    vectors = spark.createDataFrame([(*x, 1, [0.5]) for x in rows], "vec_id long, embedding array<double>, block int, v array<double>")
+    assert {tuple(x) for x in topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5).collect()} == brute.top_k(rows)
+    with pytest.raises(ValueError, match="64 bits"):
+        topk.top_k(spark.createDataFrame([(0, [1e9]), (1, [1e9])], "vec_id long, embedding array<double>"), F.lit(True), 5)
+
+
+@pytest.mark.parametrize("dense", [0.0, 0.25, 2.0])
+def test_segments_as_postings_and_as_matrices(monkeypatch, dense):
+    monkeypatch.setattr(topk, "DENSE", dense)
+    r = np.random.default_rng(9)
+    vectors = (r.normal(0, 40, (500, 12)) * np.geomspace(5, 0.02, 12)).astype(np.int64)
+    found = topk.ImpactIndex(np.arange(500), vectors).search(vectors[:30], np.arange(30), 4)
+    exact = vectors[:30] @ vectors.T
+    for q, (members, scores) in enumerate(found):
+        want = sorted((-s, i) for i, s in enumerate(exact[q]) if i != q)[:4]
+        best = topk._best(members, scores, 4)
+        assert [(-s, i) for i, s in zip(members[best], scores[best])] == want
+
+
 def test_mixing_follows_the_weights(spark, empty):
     rows = [(i, f"t{i}", ("a", "b", None, "c")[0 if i % 2 else i % 8 // 2]) for i in range(800)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
