@@ -163,11 +163,12 @@ class Postings:
         self.starts = np.cumsum(counts) - counts
         self.edge = np.zeros(length + 1, dtype=np.int64)
 
-    def of(self, term: int) -> np.ndarray:
-        i = int(np.searchsorted(self.terms, np.uint64(term & 0xFFFFFFFFFFFFFFFF)))
-        if i == len(self.terms) or int(self.terms[i]) != term & 0xFFFFFFFFFFFFFFFF:
-            return self.positions[:0]
-        return self.positions[self.starts[i]:self.starts[i] + self.counts[i]]
+    def lists(self, window: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Start and length of each word's postings; None where a word has none."""
+        i = np.searchsorted(self.terms, window)
+        if i.max() == len(self.terms) or (self.terms[i] != window).any():
+            return None
+        return self.starts[i], self.counts[i]
 
     def documents(self, at: np.ndarray) -> np.ndarray:
         return np.unique(np.searchsorted(self.first, at, side="right") - 1)
@@ -176,27 +177,34 @@ class Postings:
 def _next(postings: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The smallest posting from each position on (beyond all positions if there is none)."""
     i = np.searchsorted(postings, at)
-    return np.where(i < postings.size, postings[np.minimum(i, postings.size - 1)], np.iinfo(np.int64).max) if postings.size else np.full(len(at), np.iinfo(np.int64).max)
+    return np.where(i < postings.size, postings[np.minimum(i, postings.size - 1)], np.iinfo(np.int64).max)
 
 
-def match_window(index: Postings, window: list[int]) -> np.ndarray:
+def match_window(index: Postings, window: np.ndarray) -> np.ndarray:
     """Start positions of the phrase: its words' postings shifted by their offsets, rarest first, intersected."""
-    lists = [index.of(t) for t in window]
-    order = sorted(range(len(window)), key=lambda i: len(lists[i]))
-    starts = lists[order[0]] - order[0]
-    for offset in order[1:]:
+    if (found := index.lists(window)) is None:
+        return index.positions[:0]
+    begin, size = found
+    starts = None
+    for offset in np.argsort(size, kind="stable").tolist():
+        postings = index.positions[begin[offset]:begin[offset] + size[offset]]
+        if starts is None:
+            starts = postings - offset
+            continue
+        starts = starts[_next(postings, starts + offset) == starts + offset]
         if not starts.size:
             break
-        starts = starts[_next(lists[offset], starts + offset) == starts + offset]
     return starts
 
 
-def match_near(index: Postings, triple: list[int], within: int = NEAR) -> np.ndarray:
+def match_near(index: Postings, triple: np.ndarray, within: int = NEAR) -> np.ndarray:
     """Positions of the first word that have both others within ``within`` words."""
-    at = index.of(triple[0])
-    for word in triple[1:]:
-        at = at[_next(index.of(word), at - within) <= at + within] if at.size else at
-    return at
+    if (found := index.lists(triple)) is None:
+        return index.positions[:0]
+    first, *others = (index.positions[a:a + n] for a, n in zip(*found))
+    for postings in others:
+        first = first[_next(postings, first - within) <= first + within]
+    return first
 
 
 def _match(batches):
@@ -216,8 +224,10 @@ def _match(batches):
 
     for batch in batches:
         rows = []
-        shards, kinds, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        for i, (s, kind, key) in enumerate(zip(shards, kinds, keys)):
+        asked = batch.column(3)
+        flat, edges = asked.values.to_numpy(zero_copy_only=False).view(np.uint64), asked.offsets.to_numpy()
+        columns = (batch.column(c).to_pylist() for c in range(3))
+        for i, (s, kind, key) in enumerate(zip(*columns)):
             if kind == 0:
                 if index is not None:
                     rows += covered()
@@ -225,7 +235,7 @@ def _match(batches):
                 first, terms, counts = (np.array(values[j].values.to_numpy(zero_copy_only=False)) for j in (0, 2, 3))
                 index, shard = Postings(terms.astype(np.int64).view(np.uint64), counts.astype(np.int64), values[4].as_py(), first, values[1].as_py()), s
                 continue
-            hashes = batch.column(3)[i].as_py()
+            hashes = flat[edges[i]:edges[i + 1]]
             found = match_window(index, hashes) if kind == 1 else match_near(index, hashes)
             if found.size:
                 if kind == 1:
