@@ -47,19 +47,17 @@ def words_of(raw: bytes) -> list[bytes]:
     return raw.lower().translate(_TABLE).split()  # bytes: only A-Z change
 
 
-class Hasher:
+class Hasher(dict):
     """64-bit hashes of words; remembers those it has met, up to a bound."""
 
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > _REMEMBER:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+        if len(self) > _REMEMBER:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def pair_hashes(h: np.ndarray) -> np.ndarray:
@@ -174,12 +172,6 @@ class Postings:
         return np.unique(np.searchsorted(self.first, at, side="right") - 1)
 
 
-def _next(postings: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The smallest posting from each position on (beyond all positions if there is none)."""
-    i = np.searchsorted(postings, at)
-    return np.where(i < postings.size, postings[np.minimum(i, postings.size - 1)], np.iinfo(np.int64).max)
-
-
 def match_window(index: Postings, window: np.ndarray) -> np.ndarray:
     """Start positions of the phrase: its words' postings shifted by their offsets, rarest first, intersected."""
     if (found := index.lists(window)) is None:
@@ -191,7 +183,8 @@ def match_window(index: Postings, window: np.ndarray) -> np.ndarray:
         if starts is None:
             starts = postings - offset
             continue
-        starts = starts[_next(postings, starts + offset) == starts + offset]
+        wanted = starts + offset
+        starts = starts[postings.take(postings.searchsorted(wanted), mode="clip") == wanted]
         if not starts.size:
             break
     return starts
@@ -203,7 +196,8 @@ def match_near(index: Postings, triple: np.ndarray, within: int = NEAR) -> np.nd
         return index.positions[:0]
     first, *others = (index.positions[a:a + n] for a, n in zip(*found))
     for postings in others:
-        first = first[_next(postings, first - within) <= first + within]
+        i = postings.searchsorted(first - within)  # the next one from there on, if there is any
+        first = first[(i < postings.size) & (postings.take(i, mode="clip") <= first + within)]
     return first
 
 
