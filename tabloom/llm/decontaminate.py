@@ -36,8 +36,6 @@ WINDOW = 13
 NEAR = 26
 #: Bits of the maps that tell which words and pairs the benchmark may have (2 MB each, at any size of the benchmark).
 MAP_BITS = 24
-#: Hashes of words that a task remembers.
-_REMEMBER = 200_000
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes that are no part of a word: 0-9, a-z and everything beyond ASCII are.
 _TABLE = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -47,17 +45,8 @@ def words_of(raw: bytes) -> list[bytes]:
     return raw.lower().translate(_TABLE).split()  # bytes: only A-Z change
 
 
-class Hasher(dict):
-    """64-bit hashes of words; remembers those it has met, up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > _REMEMBER:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))  # faster than a look into a dictionary
 
 
 def pair_hashes(h: np.ndarray) -> np.ndarray:
@@ -66,13 +55,12 @@ def pair_hashes(h: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ benchmark -------
 def _items(batches):
-    hasher = Hasher()
     for batch in batches:
         rows = []
         for item, raw in zip(batch.column(0).to_pylist(), text_bytes(batch)):
             words = words_of(raw)
             if words:
-                h = hasher(words)
+                h = word_hashes(words)
                 rows.append((item, [w.decode() for w in words], h.view(np.int64), pair_hashes(h).view(np.int64)))
         kinds = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64())]
         yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["item", "words", "hashes", "pairs"])
@@ -128,11 +116,11 @@ _KINDS = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.i
 
 
 def _index(word_map: np.ndarray, pair_map: np.ndarray, chunk: int, batches):
-    hasher, number = Hasher(), 0
+    number = 0
     for part in text_chunks(batches, limit=chunk):
         hashes, first, n_words, pairs, at = [], [], [], [], 0
         for raw in text_bytes(part):
-            h = hasher(words_of(raw))
+            h = word_hashes(words_of(raw))
             pairs.append(pair_hashes(h) if len(h) > 1 else h[:0])
             hashes.append(h)
             n_words.append(len(h))
