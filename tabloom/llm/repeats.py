@@ -1,7 +1,9 @@
-"""Removing repeated passages: a sparse suffix array built by distributed prefix doubling.
+"""Removing repeated passages by anchors (winnowing) that are ranked by hashes of growing prefixes.
+
+This is not full prefix doubling: no position but an anchor is ranked, and ranks are hashes, not places in a sort (README).
 
 Every window of ``LENGTH`` bytes has one anchor: the position in it whose 32-byte prefix has the
-smallest hash (the same in every copy of the window). Only anchors enter the suffix array, one in
+smallest hash (the same in every copy of the window). Only anchors are ranked, one in
 35 bytes or so, each with the run of windows it stands for. Ranks are hashes of prefixes at growing
 offsets around the anchor:
 
