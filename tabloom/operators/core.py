@@ -8,12 +8,13 @@ join, positional zip through ranks, and histogram with zero-filled buckets.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rank import global_rank, ordered_scan
+from .rank import global_rank, ordered_scan, top_k_per_group
 
 TWO32 = 4294967296.0
 
@@ -182,12 +183,34 @@ def hash_sample(df: DataFrame, key: list[str] | str, fraction: float, seed: int
     return df.filter(hash_uniform(key, seed) < F.lit(fraction))
 
 
-def poisson_replicate(df: DataFrame, key: list[str] | str, fraction: float, seed: int = 0) -> DataFrame:
-    """S1 (with replacement): each row appears floor(f) or ceil(f) times by hash."""
-    whole = int(fraction)
-    extra = fraction - whole
-    n = F.lit(whole) + F.when(hash_uniform(key, seed) < F.lit(extra), 1).otherwise(0)
-    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), n))).filter(n > 0).drop("_copy")
+def poisson_cdf(rate: float) -> list[float]:
+    """Cumulative Poisson probabilities until a double cannot tell them from 1."""
+    if not 0 < rate <= 700:
+        raise ValueError("rate must be above 0 and at most 700 (e**-rate must be a normal double)")
+    term = total = math.exp(-rate)
+    out = []
+    while total < 1 - 1e-15:
+        out.append(total)
+        term *= rate / len(out)
+        if len(out) > rate and total + term == total:
+            break
+        total += term
+    return out
+
+
+def poisson_copies(df: DataFrame, key: list[str] | str, rate: float, seed: int = 0, col: str = "copies") -> DataFrame:
+    """S1 (with replacement): the rows drawn at least once, with their number of copies, Poisson(``rate``) by hash.
+
+    The hash is one array item that a lambda compares with the thresholds, and rows without copies leave in the
+    generator: one hash a row, however many thresholds there are."""
+    steps = F.array(*[F.lit(p) for p in poisson_cdf(rate)])
+    count = F.transform(F.array(hash_uniform(key, seed)), lambda u: F.size(F.filter(steps, lambda p: p <= u)))
+    return df.withColumn(col, F.explode(F.filter(count, lambda n: n > 0)))
+
+
+def poisson_replicate(df: DataFrame, key: list[str] | str, rate: float, seed: int = 0) -> DataFrame:
+    """S1 (with replacement): every row as often as ``poisson_copies`` says."""
+    return poisson_copies(df, key, rate, seed, "_n").withColumn("_n", F.explode(F.sequence(F.lit(1), "_n"))).drop("_n")
 
 
 def exact_sample(df: DataFrame, key: list[str] | str, n: int, seed: int = 0) -> DataFrame:
@@ -218,26 +241,41 @@ def random_split(df: DataFrame, weights: list[float], key: list[str] | str, seed
     return df.withColumn("split", s)
 
 
+def _positions(df: DataFrame, key: str, seed: int, by: list[str], rank_col: str) -> DataFrame:
+    """``df`` with the rank of every row by hash of its unique ``key`` (within ``by``). Only key, hash and group go
+    through the scan; other columns meet the ranks by the key."""
+    narrow = df.select(key, *[c for c in by if c != key]).withColumn("_h", hash_uniform(key, seed))
+    ranked = ordered_scan(narrow, [("_h", True), (key, True)], by=by, rank_col=rank_col).drop("_h")
+    if set(df.columns) <= set(narrow.columns):
+        return ranked.select(*df.columns, rank_col)
+    ranked = ranked.select(F.col(key).alias("_key"), rank_col)
+    return df.join(ranked, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+
+
 def holdout(df: DataFrame, key: str, ratio: float, seed: int = 0, stratify: str | None = None) -> DataFrame:
-    """Rank by hash (within ``stratify``); the last int(n*ratio) rows are test."""
-    h = df.withColumn("_h", hash_uniform(key, seed))
+    """Rank by hash of the unique ``key`` (within ``stratify``); the last int(n*ratio) rows are test. A null
+    stratum is a stratum.
+
+    Only (stratum, hash, key) go through the scan. It yields one row a stratum, the last training row, and each row of
+    the table is test if it comes after that: rows are compared where they lie."""
     by = [stratify] if stratify else []
-    ranked = ordered_scan(h, [("_h", True), (key, True)], by=by, rank_col="_r")
-    counts = h.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")) if by else None
-    if by:
-        ranked = ranked.join(counts, by)
-        n = F.col("_n")
-    else:
-        n = F.lit(h.count())
-    test = F.col("_r") > n - F.floor(n * F.lit(ratio))
-    return ranked.withColumn("is_test", test.cast("int")).drop("_h", "_r", "_n")
+    narrow = df.select(key, *[c for c in by if c != key]).withColumn("_h", hash_uniform(key, seed))
+    ranked = ordered_scan(narrow, [("_h", True), (key, True)], by=by, rank_col="_r")
+    counts = narrow.groupBy(*[F.col(c).alias("_g") for c in by]).agg(F.count(F.lit(1)).alias("_n"))
+    train = lambda n: n - F.floor(n * F.lit(ratio))
+    after = lambda cut: F.struct(hash_uniform(key, seed), F.col(key)) > cut
+    if not by:
+        cut = ranked.filter(F.col("_r") == train(counts.select("_n").scalar())).select(F.struct("_h", key))
+        return df.withColumn("is_test", F.coalesce(after(cut.scalar()), F.lit(True)).cast("int"))
+    cuts = ranked.join(counts, F.col(stratify).eqNullSafe(F.col("_g"))).filter(F.col("_r") == train(F.col("_n")))
+    cuts = cuts.select("_g", F.struct("_h", key).alias("_cut"))
+    marked = df.join(cuts, F.col(stratify).eqNullSafe(F.col("_g")), "left")
+    return marked.withColumn("is_test", F.coalesce(after(F.col("_cut")), F.lit(True)).cast("int")).drop("_g", "_cut")
 
 
 def stratified_kfold(df: DataFrame, key: str, label: str, k: int, seed: int = 0) -> DataFrame:
-    """Position by hash within label, modulo k -> fold."""
-    h = df.withColumn("_h", hash_uniform(key, seed))
-    ranked = ordered_scan(h, [("_h", True), (key, True)], by=[label], rank_col="_r")
-    return ranked.withColumn("fold", ((F.col("_r") - 1) % k).cast("int")).drop("_h", "_r")
+    """Position by hash of the unique ``key`` within label, modulo k -> fold."""
+    return _positions(df, key, seed, [label], "_r").withColumn("fold", ((F.col("_r") - 1) % k).cast("int")).drop("_r")
 
 
 def rebalance(df: DataFrame, label: str, key: str, pn_ratio: float, method: str = "down", seed: int = 0) -> DataFrame:
@@ -256,9 +294,8 @@ def rebalance(df: DataFrame, label: str, key: str, pn_ratio: float, method: str
 
 
 def shuffle_rows(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
-    """A seeded full shuffle: the new position of every row."""
-    h = df.withColumn("_h", hash_uniform(key, seed))
-    return ordered_scan(h, [("_h", True), (key, True)], rank_col="pos").withColumn("pos", F.col("pos") - 1).drop("_h")
+    """A seeded full shuffle: the new position of every row (``key`` is unique)."""
+    return _positions(df, key, seed, [], "pos").withColumn("pos", F.col("pos") - 1)
 
 
 def priority_draw(df: DataFrame, key: str, weight: Column, b: int, seed: int = 0) -> DataFrame:
@@ -285,9 +322,10 @@ def priority_draw(df: DataFrame, key: str, weight: Column, b: int, seed: int = 0
 
 
 def newest_n(df: DataFrame, ts: str, key: str, n: int, by: list[str] | None = None) -> DataFrame:
-    """The newest n rows (per ``by``), through global ranks (any n)."""
-    r = ordered_scan(df, [(ts, False), (key, False)], by=by, rank_col="_age")
-    return r.filter(F.col("_age") <= n)
+    """The newest n rows (per ``by``; ties: the larger ``key`` first). Every task keeps its own n newest rows (of a
+    group) before any row moves."""
+    newest = [F.col(ts).desc(), F.col(key).desc()]
+    return top_k_per_group(df, by, newest, n, "_age").drop("_age") if by else df.orderBy(*newest).limit(n)
 
 
 def rare_to_other(df: DataFrame, col: str, min_count: int, other: str = "__rare__") -> DataFrame:

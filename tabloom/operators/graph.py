@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.core import hash_uniform
 from ..operators.rank import ordered_scan, top_k_per_group
+from ..session import written
 
 
 def neighbour_pool(edges: DataFrame, nodes: DataFrame, feat: str) -> DataFrame:
@@ -28,14 +29,22 @@ def gin_sum(edges: DataFrame, nodes: DataFrame, feat: str, eps: float = 0.1) ->
 
 
 def sym_norm_propagate(edges: DataFrame, nodes: DataFrame, feat: str) -> DataFrame:
-    """One step of D^-1/2 (A + I) D^-1/2 X on an undirected graph."""
-    und = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    loops = nodes.select(F.col("id").alias("src"), F.col("id").alias("dst"))
-    a = und.unionByName(loops).distinct()
-    deg = a.groupBy("src").agg(F.count(F.lit(1)).cast("double").alias("d"))
-    x = nodes.select(F.col("id").alias("dst"), F.col(feat).alias("x"))
-    j = (a.join(deg.select(F.col("src").alias("dst"), F.col("d").alias("dd")), "dst").join(x, "dst").join(deg, "src"))
-    return j.groupBy("src").agg(F.sum(F.col("x") / F.sqrt(F.col("d") * F.col("dd"))).alias("h"))
+    """One step of D^-1/2 (A + I) D^-1/2 X on an undirected graph; ``edges`` may repeat and hold self loops.
+
+    The self loop is added by arithmetic: features are scaled by 1 / sqrt(degree) on the node table, travel over one
+    join with the edges (both directions, made distinct and written once, like the scaled nodes) and are scaled again where they arrive. Ends of
+    edges that are no node send nothing; they receive, with their number of neighbours as degree."""
+    ends = F.array(F.struct(F.col("src").alias("src"), F.col("dst").alias("dst")), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    und = written(edges.filter(F.col("src") != F.col("dst")).select(F.inline(ends)).distinct(), "edges")
+    degree = und.groupBy("src").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    own = nodes.select(F.col("id").alias("src"), F.col(feat).cast("double").alias("x"), F.lit(1.0).alias("loop"))
+    scaled = own.join(degree, "src", "full").select("src", (F.coalesce("n", F.lit(0.0)) + F.coalesce("loop", F.lit(0.0))).alias("d"), "x", "loop")
+    scaled = written(scaled.select("src", "d", "loop", (F.col("x") / F.sqrt("d")).alias("y")), "nodes")
+    sent = scaled.filter(F.col("y").isNotNull()).select(F.col("src").alias("dst"), "y")
+    got = und.join(sent, "dst").groupBy("src").agg(F.sum("y").alias("s"))
+    out = scaled.join(got, "src", "left").filter(F.col("loop").isNotNull() | F.col("s").isNotNull())
+    total = F.when(F.col("s").isNotNull() | F.col("y").isNotNull(), F.coalesce("s", F.lit(0.0)) + F.coalesce("y", F.lit(0.0)))
+    return out.select("src", (total / F.sqrt("d")).alias("h"))
 
 
 def smoothness(edges: DataFrame, nodes: DataFrame, feat: str, weight: str | None = None) -> DataFrame:

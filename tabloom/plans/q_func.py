@@ -149,9 +149,9 @@ def clean_search_text(spark, sf):
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
-def tokens(spark, sf, name="documents", key="doc_id"):
+def tokens(spark, sf, name="documents", key="doc_id", carry=()):
     d = table(spark, sf, name)
-    return (d.select(key, F.posexplode(F.split(F.lower("text"), TOKEN_SPLIT)).alias("pos", "term"))
+    return (d.select(key, *carry, F.posexplode(F.split(F.lower("text"), TOKEN_SPLIT)).alias("pos", "term"))
             .filter(F.col("term") != ""))
 
 
@@ -162,9 +162,8 @@ TOKENS_SQL = r"""tok AS (SELECT doc_id, term FROM (
 @register("unigram_mle", ["TX1", "P2"], sql=with_sql(TOKENS_SQL) + """
 SELECT term, count(*) AS n, round(count(*) / (SELECT count(*) FROM tok), 8) AS p FROM tok GROUP BY 1""")
 def unigram_mle(spark, sf):
-    t = tokens(spark, sf)
-    total = t.select(F.count(F.lit(1))).scalar()
-    return t.groupBy("term").agg(F.count(F.lit(1)).alias("n")).withColumn("p", F.round(F.col("n") / total, 8))
+    from ..operators import text
+    return text.unigram_shares(tokens(spark, sf)).withColumn("p", F.round("p", 8))
 
 
 @register("tfidf_documents", ["TX2"], sql=with_sql(TOKENS_SQL, """
@@ -191,9 +190,7 @@ SELECT doc_id, round(sum(tf * c) / (max(nd) * max(nc)), 6) AS cos_lang
 FROM tf JOIN lang USING (doc_id) JOIN cen USING (lang, term) JOIN dn USING (doc_id) JOIN cn USING (lang) GROUP BY 1""")
 def doc_centroid_similarity(spark, sf):
     from ..operators import text
-    t = tokens(spark, sf)
-    lang = table(spark, sf, "documents").select("doc_id", "lang")
-    return round_doubles(text.centroid_similarity(t, lang, "lang"))
+    return round_doubles(text.centroid_similarity(tokens(spark, sf, carry=["lang"]), "lang"))
 
 
 @register("term_cooccurrence", ["TX4"], sql=r"""

@@ -3,14 +3,13 @@ values of a key, loading a file into a table, and the (1 + eps) neighbour sum.""
 
 from __future__ import annotations
 
-import math
 import uuid
 
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ..operators import graph
-from ..operators.core import hash_uniform, hash_uniform_sql
+from ..operators import core, graph
+from ..operators.core import hash_uniform_sql
 from ..session import scratch_path
 from .fixtures import table
 from .registry import register
@@ -73,17 +72,13 @@ def join_right_counts(spark, sf):
 
 
 LAMBDA = 0.5
-#: Cumulative Poisson probabilities until a double cannot tell them from 1.
-_CDF = [p for p in (sum(math.exp(-LAMBDA) * LAMBDA ** i / math.factorial(i) for i in range(k + 1)) for k in range(30)) if p < 1 - 1e-15]
 
 
 @register("poisson_sample_orders", ["S1"], sql="WITH u AS (SELECT o_orderkey, " + hash_uniform_sql(["o_orderkey"], 41) + " AS u FROM orders), c AS (SELECT o_orderkey, "
-          + " + ".join(f"CAST(u >= {p!r} AS INT)" for p in _CDF) + " AS copies FROM u) SELECT o_orderkey, CAST(copies AS INT) AS copies FROM c WHERE copies > 0")
+          + " + ".join(f"CAST(u >= {p!r} AS INT)" for p in core.poisson_cdf(LAMBDA)) + " AS copies FROM u) SELECT o_orderkey, CAST(copies AS INT) AS copies FROM c WHERE copies > 0")
 def poisson_sample_orders(spark, sf):
     """Sample with replacement: each row's number of copies is Poisson(0.5), drawn from a seeded hash."""
-    u = hash_uniform(["o_orderkey"], 41)
-    copies = sum((u >= F.lit(p)).cast("int") for p in _CDF)
-    return table(spark, sf, "orders").select("o_orderkey", copies.alias("copies")).filter("copies > 0")
+    return core.poisson_copies(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", LAMBDA, 41)
 
 
 _LINES = "(SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS q, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS i FROM lineitem)"

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -71,21 +72,26 @@ TYPE_CODE = {"click": 0, "error": 1, "purchase": 2, "signup": 3, "view": 4}
 
 
 def score_stream(stream: DataFrame) -> DataFrame:
-    """Per-event scoring of a streaming DataFrame with mapInPandas (numpy)."""
-    codes = TYPE_CODE
+    """Per-event score of a streaming DataFrame, 1 / (1 + exp(-(0.01 * value - 1 + 0.1 * code))), as one Spark
+    expression. A type without a code counts as 0 there, like "click"; a null value gives a null score."""
+    codes = F.create_map(*[F.lit(x) for pair in TYPE_CODE.items() for x in pair])
+    z = 0.01 * F.col("value") - 1.0 + 0.1 * F.coalesce(codes[F.col("event_type")], F.lit(0))
+    return stream.select("event_id", (1.0 / (1.0 + F.exp(-z))).alias("score"))
 
-    def score(it):
-        for pdf in it:
-            c = pdf["event_type"].map(codes).fillna(0).to_numpy(dtype=np.float64)
-            z = 0.01 * pdf["value"].to_numpy(dtype=np.float64) - 1.0 + 0.1 * c
-            yield pd.DataFrame({"event_id": pdf["event_id"], "score": 1.0 / (1.0 + np.exp(-z))})
 
-    return stream.select("event_id", "event_type", "value").mapInPandas(score, "event_id long, score double")
+def _newest_of_batches(batches, key: str, n: int):
+    """The newest ``n`` (ts, event_id) of every key of a record batch."""
+    for batch in batches:
+        rows = batch.to_pandas().sort_values(["ts", "event_id"], ascending=False)
+        yield pa.RecordBatch.from_pandas(rows.groupby(key, sort=False, dropna=False).head(n), schema=batch.schema, preserve_index=False)
 
 
 def newest_n_state(stream: DataFrame, key: str, n: int = 3) -> DataFrame:
     """Keyed newest-N buffer. State per key holds at most n (ts, id) pairs, so
-    memory is bounded per key whatever the key's volume."""
+    memory is bounded per key whatever the key's volume.
+
+    Record batches are reduced to n rows a key where they are read, before the shuffle: a hot key sends n rows a record
+    batch to the task of its state, not all its events."""
     def update(k, pdfs, state):
         if state.exists:
             ts, ids = state.get
@@ -99,6 +105,8 @@ def newest_n_state(stream: DataFrame, key: str, n: int = 3) -> DataFrame:
         yield pd.DataFrame({key: [k[0]] * len(buf), "event_id": buf["event_id"].astype("int64").to_numpy(),
                             "slot": np.arange(len(buf), dtype=np.int64)})
 
-    return stream.groupBy(key).applyInPandasWithState(
+    slim = stream.select(key, "ts", "event_id")
+    first = slim.mapInArrow(lambda batches: _newest_of_batches(batches, key, n), slim.schema)
+    return first.groupBy(key).applyInPandasWithState(
         update, f"{key} long, event_id long, slot long", "ts array<timestamp>, ids array<long>", "update",
         GroupStateTimeout.NoTimeout)
