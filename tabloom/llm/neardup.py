@@ -5,10 +5,12 @@
    one evaluation. The values are banded. Documents with equal sets become one class.
 2. Class representatives that share a band key with others are linked to the key's smallest
    representative (no pairs inside a bucket); the components of these links are families.
-3. Every family is joined exactly on full sets: a large one is cut into blocks by set size and hash,
-   and each pair of blocks whose sizes can reach the similarity is solved by itself: shared shingles
-   are counted through postings, and a spanning forest of the confirmed links comes back. A family
-   beyond one block is spread over many tasks.
+3. Every family is joined exactly on full sets. In a large one, members are first compared with a few
+   candidates for its hub; those linked with the candidate that has most links are one component
+   already and need not meet each other. The rest meets all: blocks by set size, hash and that
+   distinction, and each pair of blocks that can hold a missing link is solved by itself: shared
+   shingles are counted through postings, and a spanning forest of the confirmed links comes back.
+   So a family's members are copied for the blocks of its rest, not for all its blocks.
 4. Components of the confirmed links give component_id; copies follow their class.
 
 Two documents at similarity s share a band with probability 1 - (1 - s**ROWS)**BANDS; at 0.8 one in
@@ -28,6 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.rank import top_k_per_group
 from .common import doc_columns, materialise, mix64, text_bytes, text_chunks
 from .components import component_labels
 
@@ -36,6 +39,8 @@ ROWS = 5
 BANDS = 2 * PERMUTATIONS // ROWS
 #: Members of a block of a family.
 BLOCK = 512
+#: Members of a large family that are tried as its hub; the choice changes the work, not the result.
+HUBS = 8
 #: Postings read at once, at most.
 _POSTINGS = 1 << 21
 #: Parts that a large family's members are dealt to while they are placed in blocks.
@@ -192,34 +197,91 @@ def _join_blocks(percent: int, batches):
     yield table(solve(run) if run else [])
 
 
+def _salted(members: DataFrame) -> DataFrame:
+    return members.withColumn("salt", F.pmod(F.xxhash64("member"), F.lit(_SALTS)).cast("int"))
+
+
+def _every_salt():
+    return F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")
+
+
+def _hub_links(percent: int, batches):
+    """Rows (family, salt, place, member, shingles) sorted by the first three, the hub candidates (places under HUBS) before
+    the members: the candidates that each member is linked with, as a bit mask."""
+    at, hubs = None, []
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            names, masks = [], []
+            for family, salt, place, member, raw in zip(*(c.to_pylist() for c in batch.slice(start, 256).columns)):
+                if (family, salt) != at:
+                    at, hubs = (family, salt), []
+                own = np.frombuffer(raw, dtype=np.uint64)
+                if place < HUBS:
+                    hubs += [(place, own)] if own.size else []
+                    continue
+                mask = 0
+                for bit, hub in hubs if own.size else ():
+                    if 100 * min(own.size, hub.size) >= percent * max(own.size, hub.size):
+                        both = int(np.count_nonzero(hub[np.minimum(np.searchsorted(hub, own), hub.size - 1)] == own))
+                        if 100 * both >= percent * (own.size + hub.size - both):
+                            mask |= 1 << bit
+                names.append((member, family))
+                masks.append(mask)
+            yield pa.record_batch([pa.array([m for m, _ in names], pa.int64()), pa.array([f for _, f in names], pa.int64()), pa.array(masks, pa.int32())],
+                                  names=["member", "family", "mask"])
+
+
+def _stars(df: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
+    """(member, family, hub) for the members of large families that are linked with the hub of their family, which is the
+    candidate with most links (ties: the first). Of two texts under one name, one that is linked is enough."""
+    size = members.groupBy("family").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > BLOCK)
+    # Large families are one in BLOCK members at most: they go to every salt, so that no task meets a whole family.
+    large = _salted(members).join(size.select("family", _every_salt()), ["family", "salt"], "left_semi")
+    large = materialise(large.select("member", "family", "salt"))
+    tried = materialise(top_k_per_group(large, ["family"], [F.xxhash64("member"), F.col("member")], HUBS, "place").select("member", "family", (F.col("place") - 1).alias("place")))
+    rows = materialise(large.withColumn("place", F.lit(HUBS)).unionByName(tried.select("member", "family", _every_salt(), "place")))
+    texts = df.select("doc_id", "text").join(rows.withColumnRenamed("member", "doc_id"), "doc_id").select("doc_id", "text", "family", "salt", "place")
+    sets = texts.mapInArrow(lambda b: _sets(words, b), "rep long, family long, salt int, place int, shingles binary").select("family", "salt", "place", F.col("rep").alias("member"), "shingles")
+    dealt = sets.repartition("family", "salt").sortWithinPartitions("family", "salt", "place", "member")
+    masks = dealt.mapInArrow(lambda b: _hub_links(percent, b), "member long, family long, mask int")
+    masks = materialise(_salted(masks.groupBy("member", "family").agg(F.bit_or("mask").alias("mask"))))
+    linked = lambda place: F.getbit("mask", place) == 1
+    bits = F.filter(F.sequence(F.lit(0), F.lit(HUBS - 1)), linked)
+    most = masks.select("family", F.explode(bits).alias("place")).groupBy("family", "place").agg(F.count(F.lit(1)).alias("c"))
+    best = most.groupBy("family").agg(F.max_by("place", F.struct("c", -F.col("place"))).alias("place"))
+    hubs = materialise(best.join(tried.withColumnRenamed("member", "hub"), ["family", "place"]))
+    return masks.join(hubs.select("family", "place", "hub", _every_salt()), ["family", "salt"]).filter(linked(F.col("place"))).select("member", "family", "hub")
+
+
 def _pairs_of_blocks(members: DataFrame, percent: int) -> DataFrame:
-    """``members`` (member, family, n) with ``block`` and ``meets``: the (lo, hi) pairs of blocks each row takes part in.
+    """``members`` (member, family, n, star) with ``block`` and ``meets``: the (lo, hi) pairs of blocks each row takes part in.
 
     A family of up to BLOCK members is one block. A larger one is cut into classes by set size, so
-    wide that only equal or neighbouring classes can hold a link, and each class into blocks by hash.
+    wide that only equal or neighbouring classes can hold a link, and each class into blocks by hash, stars apart from
+    the rest: two blocks of stars do not meet.
     """
     width = 100.0 / percent * 1.01
     size = members.groupBy("family").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > BLOCK)
-    # Large families are one in BLOCK members at most: they go to every salt, so that no task meets a whole family.
-    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")
-    salted = members.withColumns({"salt": F.pmod(F.xxhash64("member"), F.lit(_SALTS)).cast("int"),
-                                  "class": F.floor(F.log("n") / F.log(F.lit(width))).cast("long")})
-    # Sizes of the classes of large families; the count by salt is merged per class, a row a salt.
-    large = salted.join(size.select("family", salts), ["family", "salt"], "left_semi")
-    counts = large.groupBy("family", "class").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("here"))
-    near = counts.groupBy("family").agg(F.map_from_entries(F.collect_list(F.struct("class", "here"))).alias("blocks"))  # an entry a size class
-    df = salted.join(near.select("family", "blocks", salts), ["family", "salt"], "left")
+    salted = _salted(members).withColumn("kind", 2 * F.floor(F.log("n") / F.log(F.lit(width))).cast("long") + F.col("star").cast("long"))
+    # Sizes of the kinds of large families; the count by salt is merged per kind, a row a salt.
+    large = salted.join(size.select("family", _every_salt()), ["family", "salt"], "left_semi")
+    counts = large.groupBy("family", "kind").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("here"))
+    near = counts.groupBy("family").agg(F.map_from_entries(F.collect_list(F.struct("kind", "here"))).alias("blocks"))  # two entries a size class
+    df = salted.join(near.select("family", "blocks", _every_salt()), ["family", "salt"], "left")
     alone = F.create_map(F.lit(0).cast("long"), F.lit(1).cast("long"))
-    df = df.withColumns({"kind": F.when(F.col("blocks").isNull(), F.lit(0).cast("long")).otherwise(F.col("class")), "blocks": F.coalesce("blocks", alone)})
+    df = df.withColumns({"kind": F.when(F.col("blocks").isNull(), F.lit(0).cast("long")).otherwise(F.col("kind")), "blocks": F.coalesce("blocks", alone)})
     span = lambda k: F.coalesce(F.try_element_at("blocks", k), F.lit(0))
     number = lambda k, i: k * (1 << 24) + i
     df = df.withColumn("sub", F.pmod(F.xxhash64("member"), span(F.col("kind")))).withColumn("block", number(F.col("kind"), F.col("sub")))
+    star = F.col("kind") % 2
 
-    def meet(k):
-        other = F.when(span(k) > 0, F.sequence(F.lit(0).cast("long"), span(k) - 1)).otherwise(F.array().cast("array<bigint>"))
+    def meet(step, other_star):
+        k = F.col("kind") - star + 2 * step + other_star
+        other = F.when((span(k) > 0) & (star + other_star < 2), F.sequence(F.lit(0).cast("long"), span(k) - 1)).otherwise(F.array().cast("array<bigint>"))
         return F.transform(other, lambda j: F.struct(F.least(number(k, j), F.col("block")).alias("lo"), F.greatest(number(k, j), F.col("block")).alias("hi")))
 
-    return df.select("member", "family", "block", F.concat(meet(F.col("kind")), meet(F.col("kind") - 1), meet(F.col("kind") + 1)).alias("meets"))
+    met = F.concat(*[meet(step, other) for step in (0, -1, 1) for other in (0, 1)])
+    return df.select("member", "family", "block", met.alias("meets")).filter(F.size("meets") > 0)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -234,7 +296,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     edges = keys.join(buckets, ["band", "value"]).filter("rep != hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     families = component_labels(edges)
     members = families.union(families.select("b", "b").distinct()).toDF("member", "family")
-    placed = materialise(_pairs_of_blocks(members.join(classes.groupBy("rep").agg(F.max("n").alias("n")).withColumnRenamed("rep", "member"), "member"), percent))
+    members = materialise(members.join(classes.groupBy("rep").agg(F.max("n").alias("n")).withColumnRenamed("rep", "member"), "member"))
+    stars = materialise(_stars(df, members, words, percent))
+    known = stars.select("member", F.lit(True).alias("star"))
+    placed = materialise(_pairs_of_blocks(members.join(known, "member", "left").fillna(False, ["star"]), percent))
     # Full sets of the families' members, of the texts that lead their class.
     # A table of all members has no bound, so it is never sent to every task: the texts meet it by shuffle at every size.
     texts = df.join(placed.select(F.col("member").alias("doc_id"), "family", "block", "meets").hint("merge"), "doc_id")
@@ -242,6 +307,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     met = sets.select("rep", "family", "block", "shingles", F.explode("meets").alias("m")).select("family", "m.lo", "m.hi", "block", "rep", "shingles")
     dealt = met.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi", "rep")
     links = dealt.mapInArrow(lambda b: _join_blocks(percent, b), "a long, b long")
+    links = links.unionByName(stars.filter("member != hub").select(F.col("member").alias("a"), F.col("hub").alias("b")))
     labels = component_labels(links).toDF("rep", "label")
     of_class = classes.select("key", "rep").join(labels, "rep", "left").select("key", F.coalesce("label", "rep").alias("component"))
     out = signed.select("doc_id", "n", "key").join(of_class, "key", "left")

@@ -198,6 +198,32 @@ def test_near_duplicates_in_a_family_of_many_blocks(spark, monkeypatch):
     same(tuples(got, ["doc_id", "n_shingles", "component_id", "kept"]), brute.near_duplicates(rows))
 
 
+def test_near_duplicates_of_a_family_are_copied_for_its_rest_only(spark, monkeypatch):
+    # A large group of near copies and a chain that leaves it step by step.
+    base = _prose(100, 11).split()
+    rows = [(i, " ".join(base[:j] + [f"new{i}"] + base[j + 1:])) for i in range(300) for j in [i % 100]]
+    far = list(base)
+    for i in range(300, 330):
+        far[(i - 300) * 3 % 100] = f"far{i}"
+        rows.append((i, " ".join(far)))
+    rows.append((400, _prose(30, 5)))
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    met = []
+    pairs = neardup._pairs_of_blocks
+
+    def counted(members, percent):
+        out = pairs(members, percent)
+        met.append(out.selectExpr("count(*)", "sum(size(meets))").first())
+        met.append(members.filter("star").count())
+        return out
+
+    monkeypatch.setattr(neardup, "_pairs_of_blocks", counted)
+    got = neardup.near_duplicates(frame(spark, rows), words=4)
+    same(tuples(got, ["doc_id", "n_shingles", "component_id", "kept"]), brute.near_duplicates(rows))
+    # 330 members in 21 blocks met some 20 blocks each; now each meets the few blocks of the rest.
+    assert met[1] >= 290 and met[0][1] <= 5 * 330
+
+
 def test_repeats(spark, docs, empty):
     rows = list(dict.fromkeys((d, t) for d, t in awkward() if d != 7 and d is not None))
     cols = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
