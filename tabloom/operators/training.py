@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 from . import evaluate
 from .core import hash_uniform, holdout, stratified_kfold
 from .rank import ordered_scan
@@ -139,14 +139,19 @@ def leaf_counts(model: PipelineModel) -> list[int]:
 
 
 def fit_leaf_regression(model: PipelineModel, df: DataFrame, cols: list[str], label: str, l2: float = 0.01) -> PipelineModel:
-    """M3: logistic regression on one-hot leaves. A leaf that no row of ``df`` falls in gets no place of its own."""
+    """M3: logistic regression on one-hot leaves. A leaf that no row of ``df`` falls in gets no place of its own.
+
+    The fitted pipeline is saved and read back: a fresh regression keeps its training summary, and that the session, which
+    tasks cannot take once any query of the session was observed."""
     rows = leaf_columns(model, prepared(df, cols, label))
     leaves = [c for c in rows.columns if c.startswith("leaf_")]
     stages = [StringIndexer(inputCols=leaves, outputCols=[f"{c}__index" for c in leaves], handleInvalid="keep"),
               OneHotEncoder(inputCols=[f"{c}__index" for c in leaves], outputCols=[f"{c}__hot" for c in leaves], dropLast=True),
               VectorAssembler(inputCols=[f"{c}__hot" for c in leaves], outputCol="leaf_vector"),
               LogisticRegression(featuresCol="leaf_vector", labelCol=label, regParam=l2, maxIter=50)]
-    return Pipeline(stages=stages).fit(rows)
+    path = scratch_path(df.sparkSession, "leaf-regression")
+    Pipeline(stages=stages).fit(rows).write().save(path)
+    return PipelineModel.load(path)
 
 
 def leaf_scores(model: PipelineModel, regression: PipelineModel, df: DataFrame, cols: list[str], label: str) -> DataFrame:

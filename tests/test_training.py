@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tabloom.operators import evaluate, fm, score, training
@@ -61,6 +62,16 @@ def test_leaves_feed_a_regression(df):
     assert auc(training.leaf_scores(model, regression, df, COLS, "y")) >= auc(training.scored_rows(model, rows)) - 0.02
 
 
+def test_leaf_regression_in_a_session_that_observed(spark, df):
+    """An observed query gives the session a state that tasks cannot take; the scorer must not carry the session."""
+    seen = Observation()
+    assert spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).count() == 3 and seen.get["n"] == 3
+    model = training.fit_gbt(df, COLS, "y", "id", rounds=2, depth=2)
+    regression = training.fit_leaf_regression(model, df, COLS, "y")
+    scores = training.leaf_scores(model, regression, df, COLS, "y")
+    assert scores.filter("p > 0 AND p < 1").checkpoint().count() == df.filter("y IS NOT NULL").count()
+
+
 def test_search_rejects_a_wide_gap(df):
     grid = [{"rounds": 2, "depth": 2}, {"rounds": 4, "depth": 3}]
     found = training.search(df, COLS, "y", "id", grid, lambda x: evaluate.auc(x, "p", "y").first()[0], max_gap=1.0).collect()
