@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .rank import global_rank, ordered_scan, top_k_per_group
 
 TWO32 = 4294967296.0
@@ -252,6 +253,10 @@ def _positions(df: DataFrame, key: str, seed: int, by: list[str], rank_col: str)
     return df.join(ranked, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
+#: Strata up to which their cut rows are sent to all tasks.
+FEW_STRATA = 10_000
+
+
 def holdout(df: DataFrame, key: str, ratio: float, seed: int = 0, stratify: str | None = None) -> DataFrame:
     """Rank by hash of the unique ``key`` (within ``stratify``); the last int(n*ratio) rows are test. A null
     stratum is a stratum.
@@ -268,7 +273,9 @@ def holdout(df: DataFrame, key: str, ratio: float, seed: int = 0, stratify: str
         cut = ranked.filter(F.col("_r") == train(counts.select("_n").scalar())).select(F.struct("_h", key))
         return df.withColumn("is_test", F.coalesce(after(cut.scalar()), F.lit(True)).cast("int"))
     cuts = ranked.join(counts, F.col(stratify).eqNullSafe(F.col("_g"))).filter(F.col("_r") == train(F.col("_n")))
-    cuts = cuts.select("_g", F.struct("_h", key).alias("_cut"))
+    cuts = cut_lineage(cuts.select("_g", F.struct("_h", key).alias("_cut")))
+    # A shuffle by stratum would put all rows of a class into one task; only many strata are worth one.
+    cuts = F.broadcast(cuts) if cuts.count() <= FEW_STRATA else cuts
     marked = df.join(cuts, F.col(stratify).eqNullSafe(F.col("_g")), "left")
     return marked.withColumn("is_test", F.coalesce(after(F.col("_cut")), F.lit(True)).cast("int")).drop("_g", "_cut")
 

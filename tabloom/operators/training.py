@@ -9,6 +9,7 @@ an index of their own.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -28,9 +29,18 @@ from .stats import string_columns
 FILL = -999.0
 #: Values of a text column up to which trees take it as a category.
 CATEGORIES = 60
+#: Rows a partition that fitting reads, some 200 bytes a row once it is a vector in memory.
+PART_ROWS = 200_000
 _VALIDATION = "is_validation"
 
 
+def dealt(df: DataFrame, key: str | None = None) -> DataFrame:
+    """The rows dealt (by a hash of ``key``) into partitions of some ``PART_ROWS`` rows, a core's worth of them at least:
+    files of few bytes a row come in partitions of many rows, and fitting goes over each of them dozens of times."""
+    n = max(math.ceil(df.count() / PART_ROWS), df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(n, key) if key else df.repartition(n)
+
+
 def inputs(df: DataFrame, cols: list[str]) -> list:
     """Pipeline stages from columns to the vector ``features`` (one place a column, in the order of ``cols``). A text column
     of up to ``CATEGORIES`` values is a category; one of more becomes a number, its place by falling frequency."""
@@ -65,7 +75,7 @@ def fit_gbt(df: DataFrame, cols: list[str], label: str, key: str, rounds: int =
             validation: float = 0.1, seed: int = 42, tolerance: float = 0.0) -> PipelineModel:
     """Boosted trees with a stratified hold-out of ``validation`` of the rows: growing stops when the loss on it no
     longer falls by ``tolerance``. Both classes must be there."""
-    rows = holdout(prepared(df, cols, label).select(key, label, *cols), key, validation, seed=seed, stratify=label)
+    rows = holdout(dealt(prepared(df, cols, label).select(key, label, *cols), key), key, validation, seed=seed, stratify=label)
     rows = cut_lineage(rows.select(label, *cols, (F.col("is_test") == 1).alias(_VALIDATION)))  # read once a stage and more
     booster = GBTClassifier(featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed,
                             validationIndicatorCol=_VALIDATION, validationTol=tolerance, maxBins=64)
@@ -86,7 +96,7 @@ def importance_table(models: list[PipelineModel], cols: list[str], spark) -> Dat
 
 def train_report(df: DataFrame, cols: list[str], label: str, key: str, test: float = 0.2, seed: int = 42, **more) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """M1: the model, the scored test rows (key, label, p) and a report row: trees, train_auc, test_auc, hit_rate, top_k, cover."""
-    parts = cut_lineage(holdout(df.select(key, label, *cols).filter(F.col(label).isNotNull()), key, test, seed=seed + 1, stratify=label))
+    parts = cut_lineage(holdout(dealt(df.select(key, label, *cols).filter(F.col(label).isNotNull()), key), key, test, seed=seed + 1, stratify=label))
     train, held = parts.filter("is_test = 0").drop("is_test"), parts.filter("is_test = 1").drop("is_test")
     model = fit_gbt(train, cols, label, key, seed=seed, **more)
     score = lambda rows: cut_lineage(scored_rows(model, prepared(rows, cols, label)).select(key, label, "p"))
@@ -143,8 +153,9 @@ def fit_leaf_regression(model: PipelineModel, df: DataFrame, cols: list[str], la
 
     The fitted pipeline is saved and read back: a fresh regression keeps its training summary, and that the session, which
     tasks cannot take once any query of the session was observed."""
-    rows = leaf_columns(model, prepared(df, cols, label))
+    rows = leaf_columns(model, dealt(prepared(df, cols, label)))
     leaves = [c for c in rows.columns if c.startswith("leaf_")]
+    rows = cut_lineage(rows.select(label, *leaves))  # read once a stage and more
     stages = [StringIndexer(inputCols=leaves, outputCols=[f"{c}__index" for c in leaves], handleInvalid="keep"),
               OneHotEncoder(inputCols=[f"{c}__index" for c in leaves], outputCols=[f"{c}__hot" for c in leaves], dropLast=True),
               VectorAssembler(inputCols=[f"{c}__hot" for c in leaves], outputCol="leaf_vector"),
@@ -164,7 +175,7 @@ def search(df: DataFrame, cols: list[str], label: str, key: str, grid: list[dict
            seed: int = 42, max_gap: float = 0.02) -> DataFrame:
     """M4: one fit for each setting of ``grid``; (trial, setting, score, train_loss, test_loss, accepted, best). A trial whose losses on
     train and test rows differ by ``max_gap`` or more is rejected; the best is the accepted one with the highest score."""
-    parts = cut_lineage(holdout(df.select(key, label, *cols).filter(F.col(label).isNotNull()), key, test, seed=seed, stratify=label))
+    parts = cut_lineage(holdout(dealt(df.select(key, label, *cols).filter(F.col(label).isNotNull()), key), key, test, seed=seed, stratify=label))
     train, held = parts.filter("is_test = 0").drop("is_test"), parts.filter("is_test = 1").drop("is_test")
     rows = []
     for i, setting in enumerate(grid):

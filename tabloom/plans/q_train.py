@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate, fm, score, training
 from ..operators.core import hash_uniform_sql
+from ..session import cut_lineage
 from .fixtures import SCORED_SQL, scored, table, with_sql
 from .registry import register, round_doubles
 
@@ -53,7 +54,7 @@ def gbt_cross_validation(spark, sf):
 @register("gbt_leaf_regression", ["M3", "N3"], sql=with_sql(SCORED_SQL) + """
 SELECT count(*) AS n, true AS a_leaf_a_tree, true AS as_good_as_trees FROM scored""")
 def gbt_leaf_regression(spark, sf):
-    rows = train_rows(spark, sf)
+    rows = cut_lineage(training.dealt(train_rows(spark, sf), "id"))
     model = training.fit_gbt(rows, FEATURES, "y", "id", rounds=6, depth=3)
     leaves = training.leaf_columns(model, training.prepared(rows, FEATURES, "y"))
     counts = training.leaf_counts(model)

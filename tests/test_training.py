@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from tabloom.operators import evaluate, fm, score, training
+from tabloom.operators import core, evaluate, fm, score, training
 
 COLS = ["a", "b", "kind", "noise"]
 
@@ -151,3 +151,17 @@ def test_factorisation_machine(spark):
     _, more = fm.train(rows, "id", "y", k=2, passes=4, step=1e6)  # far too large a step is halved until the loss falls
     assert all(a > b for a, b in zip(more, more[1:])) and len(more) > 1
     assert fm.train(rows.limit(0), "id", "y")[1] == []
+
+
+def test_rows_are_dealt_and_stay_so(spark, df, monkeypatch):
+    """Fitting reads partitions of bounded size; a hold-out by class does not gather a class in a task."""
+    monkeypatch.setattr(training, "PART_ROWS", 100)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = training.dealt(df.filter("y IS NOT NULL"), "id")
+        marked = core.holdout(rows, "id", 0.2, seed=1, stratify="y").checkpoint()
+        sizes = [r["count"] for r in marked.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 8 and sum(sizes) == rows.count() and max(sizes) < 200
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
