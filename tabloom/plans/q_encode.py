@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import encode as enc
-from ..session import scratch_path
+from ..session import scratch_path, written
 from .fixtures import LABELLED_SQL, labelled, table, with_sql
 from .registry import register, round_doubles
 from .sqlgen import ew_bucket_sql
@@ -121,7 +121,7 @@ def woe_custkey_partkey(spark, sf):
     """WOE of two columns with as many values as there are customers and parts."""
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c"))
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p"), (F.col("l_returnflag") == "R").cast("int").alias("y"))
-    df = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "c", "p", "y")
+    df = written(li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "c", "p", "y"), "lines")  # joined once, read by fit and transform
     fit = enc.woe_fit(df, "y", ["c", "p"])
     return round_doubles(enc.woe_transform(df, fit, ["c", "p"]).select("l_orderkey", "l_linenumber", "c", "p"))
 
