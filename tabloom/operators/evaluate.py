@@ -8,12 +8,15 @@ small table (bins, cut-offs, one summary row).
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .rank import ordered_scan
+from .rank import lay_out, ordered_scan
 from .stats import equal_width_bucket, fit_minmax, label_totals, long_counts
 
 # The cut-offs of the depth table.
@@ -148,20 +151,37 @@ def auc(df: DataFrame, score: str, label: str, dropna: bool = True, nan: float =
 
 
 # ------------------------------------------------------------------ E9 ------------
-def aucpr(df: DataFrame, score: str, label: str) -> DataFrame:
+def aucpr(df: DataFrame, score: str, label: str, num_partitions: int | None = None) -> DataFrame:
     """Trapezoid over (recall, precision) at every distinct threshold, starting from
-    the point (recall 0, precision 1) and stopping at full recall (trap T16)."""
+    the point (recall 0, precision 1) and stopping at full recall (trap T16).
+
+    Thresholds are laid out in ranges; the totals of the ranges before it (a row a range on the driver) tell each range
+    where it starts, and it gives back its share of the area."""
     data = df.select(F.col(score).cast("double").alias("s"), F.col(label).cast("long").alias("y")).dropna()
     per = data.groupBy("s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
-    P = data.agg(F.sum("y")).first()[0]
-    sc = ordered_scan(per, [("s", False)], sums=["pos", "neg"], rank_col="_r")
-    pts = sc.select("_r", (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("prec"),
-                    (F.col("cum_pos") / F.lit(float(P))).alias("rec"), "cum_pos")
-    last = pts.filter(F.col("cum_pos") >= F.lit(float(P))).agg(F.min("_r")).first()[0]
-    prev = pts.select((F.col("_r") + 1).alias("_r"), F.col("prec").alias("prec0"), F.col("rec").alias("rec0"))
-    j = pts.filter(F.col("_r") <= F.lit(last)).join(prev, "_r", "left")
-    j = j.fillna({"prec0": 1.0, "rec0": 0.0})
-    return j.agg(F.sum(0.5 * (F.col("prec") + F.col("prec0")) * (F.col("rec") - F.col("rec0"))).alias("aucpr"))
+    laid = lay_out(per, [("s", False)], [], num_partitions)
+    totals = {r["__range"]: (r["p"], r["n"]) for r in laid.groupBy("__range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).collect()}
+    starts, at = {}, (0, 0)
+    for i in sorted(totals):
+        starts[i], at = at, (at[0] + totals[i][0], at[1] + totals[i][1])
+
+    def area(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = {}, 0.0
+        for batch in batches:
+            ranges, pos, neg = (batch.column(i).to_numpy() for i in range(3))
+            cuts = np.flatnonzero(np.diff(ranges)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(ranges)] if len(ranges) else []):
+                own = int(ranges[lo])
+                p0, n0 = now.get(own, starts[own])
+                p, n = p0 + np.cumsum(pos[lo:hi]), n0 + np.cumsum(neg[lo:hi])
+                now = {own: (int(p[-1]), int(n[-1]))}
+                prec = p / (p + n)
+                before = p0 / (p0 + n0) if p0 + n0 else 1.0
+                total += float(np.sum(0.5 * (prec + np.r_[before, prec[:-1]]) * pos[lo:hi]))  # 0 wide beyond full recall
+        yield pa.record_batch([pa.array([total])], names=["part"])
+
+    parts = laid.select("__range", "pos", "neg").mapInArrow(area, "part double")
+    return parts.agg(F.try_divide(F.sum("part"), F.lit(float(at[0]))).alias("aucpr"))
 
 
 # ------------------------------------------------------------------ E10 -----------

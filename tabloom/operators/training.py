@@ -19,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, scratch_path
+from ..session import cut_lineage, scratch_path, written
 from . import evaluate
 from .core import hash_uniform, holdout, stratified_kfold
 from .rank import ordered_scan
@@ -31,6 +31,8 @@ FILL = -999.0
 CATEGORIES = 60
 #: Rows a partition that fitting reads, some 200 bytes a row once it is a vector in memory.
 PART_ROWS = 200_000
+#: Rows of a range that a scan goes over.
+RANGE_ROWS = 1_000_000
 _VALIDATION = "is_validation"
 
 
@@ -189,25 +191,38 @@ def search(df: DataFrame, cols: list[str], label: str, key: str, grid: list[dict
 
 
 # ------------------------------------------------------------------ X8 / X9 ---------
+def _by_key(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with ``__rank``: the rank by key, which no permutation changes."""
+    return written(ordered_scan(df, [(key, True)], rank_col="__rank", num_partitions=_ranges(df)), "ranked")
+
+
+def _ranges(df: DataFrame) -> int:
+    """Ranges of some ``RANGE_ROWS`` rows, a core's worth of them at least: a scan is more work than its bytes tell."""
+    return max(math.ceil(df.count() / RANGE_ROWS), df.sparkSession.sparkContext.defaultParallelism)
+
+
 def permuted(df: DataFrame, cols: list[str], key: str, seed: int) -> DataFrame:
     """``df`` with ``<c>__permuted``: the values of ``cols`` dealt to other rows, the same exchange for all of them. The
-    row with rank r by key gets the values of the row with rank r by a hash of the key; the ranks meet in an equi-join."""
-    to = ordered_scan(df, [(key, True)], rank_col="__rank")
-    source = df.select(key, *cols).withColumn("__hash", hash_uniform(key, seed))
-    source = ordered_scan(source, [("__hash", True), (key, True)], rank_col="__rank")
+    row with rank r by key gets the values of the row with rank r by a hash of the key; the ranks meet in an equi-join.
+    Rows that have their rank by key already (``__rank``) are not ranked again."""
+    to = df if "__rank" in df.columns else _by_key(df, key)
+    source = to.select(key, *cols).withColumn("__hash", hash_uniform(key, seed))
+    source = ordered_scan(source, [("__hash", True), (key, True)], rank_col="__rank", num_partitions=_ranges(to))
     return to.join(source.select("__rank", *[F.col(c).alias(f"{c}__permuted") for c in cols]), "__rank").drop("__rank")
 
 
 def permutation_importance(df: DataFrame, cols: list[str], label: str, key: str, scorer: Callable[[DataFrame], DataFrame], folds: int = 3, seed: int = 5) -> DataFrame:
     """(feature, baseline, mean, std): how far the area under precision-recall falls when a column is permuted, over
     ``folds`` permutations (sample std). ``scorer`` adds ``p`` to rows that have the columns ``key``, ``label``, ``cols``.
-    A column that the scorer does not read falls by 0."""
-    rows = cut_lineage(df.select(key, label, *cols))
-    area = lambda x: evaluate.aucpr(x, "p", label).first()["aucpr"]
-    baseline = area(scorer(rows).select("p", label))
+    A column that the scorer does not read falls by 0. Rows are ranked by key once; the scorer of a column reads the
+    columns it needs of the written permutation."""
+    rows = _by_key(df.select(key, label, *cols), key)
+    ranges = _ranges(rows)
+    area = lambda x: evaluate.aucpr(x, "p", label, ranges).first()["aucpr"]
+    baseline = area(scorer(rows.select(key, label, *cols)).select("p", label))
     out = []
     for fold in range(folds):
-        moved = cut_lineage(permuted(rows, cols, key, seed + fold))
+        moved = written(permuted(rows, cols, key, seed + fold), "permuted")
         for c in cols:
             other = moved.withColumn(c, F.col(f"{c}__permuted")).select(key, label, *cols)
             out.append((c, fold, baseline, round(baseline - area(scorer(other).select("p", label)), 12)))

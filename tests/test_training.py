@@ -99,6 +99,31 @@ def test_permutation(df):
     assert found["b"]["mean"] == found["b"]["std"] == 0 and found["a"]["mean"] > 0.1
 
 
+def test_permutation_ranks_by_key_once(df, monkeypatch):
+    """One scan by key and one a permutation; the areas give back a number a range and scan no rows twice."""
+    seen = []
+    for module in (training, evaluate):
+        monkeypatch.setattr(module, "ordered_scan", lambda x, order, scan=module.ordered_scan, **more: seen.append(order) or scan(x, order, **more))
+    training.permutation_importance(df.fillna(0, ["a"]).filter("y IS NOT NULL"), ["a", "b"], "y", "id", lambda x: x.withColumn("p", F.col("a")), folds=2)
+    assert seen == [[("id", True)], [("__hash", True), ("id", True)], [("__hash", True), ("id", True)]]
+
+
+def test_area_over_ranges_with_ties(spark):
+    r = np.random.default_rng(2)
+    scored = [(float(s), int(y)) for s, y in zip(r.integers(0, 40, 500) / 8, r.random(500) < 0.3)] + [(0.0, 0)] * 300 + [(None, 1), (9.0, None)]
+    d = spark.createDataFrame(scored, "p double, y int").repartition(5)
+    tp = fp = area = 0.0
+    pos = sum(y for s, y in scored if s is not None and y is not None)
+    prec0, rec0 = 1.0, 0.0
+    for s in sorted({s for s, y in scored if s is not None and y is not None}, reverse=True):
+        own = [y for x, y in scored if x == s and y is not None]
+        tp, fp = tp + sum(own), fp + len(own) - sum(own)
+        prec, rec = tp / (tp + fp), tp / pos
+        area, prec0, rec0 = area + 0.5 * (prec + prec0) * (rec - rec0), prec, rec
+    assert [evaluate.aucpr(d, "p", "y", n).first()["aucpr"] for n in (None, 1, 7)] == pytest.approx([area] * 3)
+    assert evaluate.aucpr(d.filter("p > 99"), "p", "y").first()["aucpr"] is None
+
+
 def test_partial_dependence(df, rows):
     scorer = lambda x: x.withColumn("p", F.coalesce(F.col("a"), F.lit(0.0)) * 2 + F.col("b"))
     got = {(r["feature"], r["value"]): (r["mean"], r["n"]) for r in training.partial_dependence(df, {"a": [0, 1.5], "b": [-1]}, scorer).collect()}
